@@ -1,0 +1,5 @@
+"""Deliberately empty: the covered workload is batch only.
+
+The row-wise operators (feature frame, split, batch scoring) are plain projections and therefore
+also accept a streaming DataFrame; there is no stateful or windowed stream logic to provide.
+"""
