@@ -24,7 +24,7 @@ def parts(ts: Column, names: tuple[str, ...] = tuple(PARTS)) -> dict[str, Column
 
 def part_name(name: str, code: Column) -> Column:
     """Label of a month or weekday code, by position in a literal array (no join)."""
-    return F.element_at(F.array(*[F.lit(v) for v in NAMES[name]]), code.cast("int"))
+    return F.get(F.array(*[F.lit(v) for v in NAMES[name]]), code.cast("int") - 1)
 
 
 def day_kind(dow: Column) -> Column:

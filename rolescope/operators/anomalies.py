@@ -34,30 +34,19 @@ class Rule:
 
 
 def threshold_ladder(df: DataFrame, rules: list[Rule]) -> DataFrame:
-    """``column, rule, cnt, bound`` for NULLs, each threshold, and the extremes of each column.
+    """``column, rule, value``: NULLs, rows past each threshold, and the extremes of each column.
 
     All columns and thresholds are counters of one aggregate, so the table is read once.
     """
-    columns = list(dict.fromkeys(r.column for r in rules))
-    measures: list[Column] = []
-    rows: list[Column] = []
-
-    def add(column: str, rule: str, measure: Column, is_count: bool) -> None:
-        name = f"m{len(measures)}"
-        measures.append(measure.alias(name))
-        count = F.col(name) if is_count else F.lit(None).cast("bigint")
-        bound = F.lit(None).cast("double") if is_count else F.col(name)
-        rows.append(F.struct(F.lit(column).alias("column"), F.lit(rule).alias("rule"),
-                             count.alias("cnt"), bound.alias("bound")))
-
-    for c in columns:
-        add(c, "null", n_where(ref(c).isNull()), True)
-        for r in rules:
-            if r.column == c:
-                add(c, r.short, n_where(r.test()), True)
-        add(c, "min", F.min(ref(c)).cast("double"), False)
-        add(c, "max", F.max(ref(c)).cast("double"), False)
-    return df.agg(*measures).select(rows_from(rows))
+    measures: dict[tuple[str, str], Column] = {}
+    for c in dict.fromkeys(r.column for r in rules):
+        measures[c, "null"] = n_where(ref(c).isNull())
+        measures |= {(c, r.short): n_where(r.test()) for r in rules if r.column == c}
+        measures[c, "min"], measures[c, "max"] = F.min(ref(c)), F.max(ref(c))
+    one = df.agg(*[m.cast("double").alias(f"m{i}") for i, m in enumerate(measures.values())])
+    return one.select(rows_from([
+        F.struct(F.lit(c).alias("column"), F.lit(rule).alias("rule"), F.col(f"m{i}").alias("value"))
+        for i, (c, rule) in enumerate(measures)]))
 
 
 def paired_missingness(df: DataFrame, pairs: dict[str, tuple[str, str]]) -> DataFrame:

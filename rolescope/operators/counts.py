@@ -30,27 +30,34 @@ def group_counts(df: DataFrame, keys: list[str], weight: str | None = None) -> D
 
 
 def totals(counts: DataFrame) -> Column:
-    """Struct ``(all, non_null, groups)`` over a :func:`group_counts` result, as a subquery."""
-    return counts.agg(F.struct(
-        F.sum("cnt").alias("all"), F.sum("keyed").alias("non_null"), n_rows().alias("groups"),
-    ).alias("totals")).scalar()
+    """Struct ``(all[, non_null], groups)`` over a :func:`group_counts` result, as a subquery.
 
-
-def denominator(total: Column, which: str) -> Column:
-    """Pick what shares divide by: every row, or only rows whose key is known."""
-    if which not in ("all", "non_null"):
-        raise ValueError(f"denominator must be 'all' or 'non_null', not {which!r}")
-    return total.getField(which)
+    For the shuffle to be shared, the query around it has to use the same columns of ``counts``;
+    drop ``keyed`` from ``counts`` first when it plays no part.
+    """
+    sums = [F.sum("cnt").alias("all"), n_rows().alias("groups")]
+    if "keyed" in counts.columns:
+        sums.append(F.sum("keyed").alias("non_null"))
+    return counts.agg(F.struct(*sums).alias("totals")).scalar()
 
 
-def shares(counts: DataFrame, *, denominator_rows: str = "all", keep_null: bool = True,
+def shares(counts: DataFrame, *, denominator: str = "all", keep_null: bool = True,
            digits: int = 2) -> DataFrame:
-    """Add ``pct`` to group counts."""
+    """Add ``pct`` to group counts.
+
+    ``denominator`` says what shares divide by: ``all`` rows, or only the ``non_null`` ones whose
+    key is known (the NULL group then has no share).
+    """
+    if denominator not in ("all", "non_null"):
+        raise ValueError(f"denominator must be 'all' or 'non_null', not {denominator!r}")
     keys = [c for c in counts.columns if c not in ("cnt", "keyed")]
-    total = denominator(totals(counts), denominator_rows)
+    if denominator == "all" and keep_null:
+        counts = counts.drop("keyed")
+    share = pct(F.col("cnt"), totals(counts).getField(denominator), digits)
+    if denominator == "non_null":
+        share = F.when(F.col("keyed") > 0, share)
     rows = counts if keep_null else counts.where(F.col("keyed") > 0)
-    return rows.select(*[ref(k) for k in keys], "cnt",
-                       pct(F.col("cnt"), total, digits).alias("pct"))
+    return rows.select(*[ref(k) for k in keys], "cnt", share.alias("pct"))
 
 
 def distribution(df: DataFrame, column: str, *, digits: int = 2, keep_null: bool = True,

@@ -37,7 +37,7 @@ def rows_in_top(df: DataFrame, key: str, k: int) -> DataFrame:
 
 def coverage(df: DataFrame, key: str, k: int = 10) -> DataFrame:
     """``rank, key, cnt, pct, n_groups``: the ranked top-k and how many groups there are."""
-    counts = group_counts(df, [key])
+    counts = group_counts(df, [key]).drop("keyed")
     total = totals(counts)
     top = (counts.select(ref(key), "cnt",
                          pct(F.col("cnt"), total.getField("all")).alias("pct"),
@@ -49,7 +49,7 @@ def coverage(df: DataFrame, key: str, k: int = 10) -> DataFrame:
 
 def cumulative_share(df: DataFrame, key: str, k: int) -> DataFrame:
     """``rank, key, cnt, cum_pct``: share of all rows covered by the first 1..k groups."""
-    counts = group_counts(df, [key])
+    counts = group_counts(df, [key]).drop("keyed")
     total = totals(counts).getField("all")
     order = Window.orderBy(*_ranking([key]))  # over k rows
     top = counts.select(ref(key), "cnt", total.alias("total")).orderBy(*_ranking([key])).limit(k)

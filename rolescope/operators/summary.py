@@ -18,6 +18,12 @@ def _measures(column: Column, i: int, median: bool) -> list[Column]:
     return wanted
 
 
+def _overlay(measured: DataFrame, more: DataFrame, *keys: str) -> DataFrame:
+    """Both aggregates' columns side by side per key: a union of small results, merged by MAX."""
+    both = measured.unionByName(more, allowMissingColumns=True)
+    return both.groupBy(*keys).agg(*[F.max(c).alias(c) for c in both.columns if c not in keys])
+
+
 def numeric_summary(df: DataFrame, columns: tuple[str, ...], *, exact: bool = False,
                     digits: int = 2) -> DataFrame:
     """``variable, cnt, missing, missing_pct, mean, median, min, max`` per column.
@@ -29,8 +35,7 @@ def numeric_summary(df: DataFrame, columns: tuple[str, ...], *, exact: bool = Fa
                  *[m for i, c in enumerate(columns) for m in _measures(ref(c), i, not exact)])
     if exact:
         medians = exact_quantile(df, {f"median{i}": ref(c) for i, c in enumerate(columns)})
-        one = one.select("*", medians.select(F.struct("*")).scalar().alias("exact")) \
-                 .select("*", "exact.*")
+        one = _overlay(one, medians)
     missing = [F.col("total") - F.col(f"cnt{i}") for i in range(len(columns))]
     return one.select(rows_from([
         F.struct(F.lit(c).alias("variable"), F.col(f"cnt{i}").alias("cnt"),
@@ -43,18 +48,20 @@ def numeric_summary(df: DataFrame, columns: tuple[str, ...], *, exact: bool = Fa
 
 def summary_by_class(df: DataFrame, column: str, label: str, classes: tuple[int, ...], *,
                      exact: bool = False, digits: int = 4) -> DataFrame:
-    """``class, cnt, mean, median, min, max`` of a column within each class."""
+    """``class, cnt, mean, median, min, max`` of a column within each class.
+
+    Exact medians cover the listed classes only; any other class shows none.
+    """
     value = ref(column)
     grouped = df.groupBy(ref(label).alias("class")).agg(*_measures(value, 0, not exact))
-    median = F.col("median0")
     if exact:
-        series = {f"c{c}": F.when(ref(label) == c, value) for c in classes}
-        found = exact_quantile(df, series).select(F.struct("*")).scalar()
-        grouped = grouped.where(F.col("class").isin(*classes)).select("*", found.alias("exact"))
-        median = F.coalesce(*[F.when(F.col("class") == c, F.col(f"exact.c{c}")) for c in classes])
+        medians = exact_quantile(df, {f"c{c}": F.when(ref(label) == c, value) for c in classes})
+        per_class = medians.select(rows_from([
+            F.struct(F.lit(c).alias("class"), F.col(f"c{c}").alias("median0")) for c in classes]))
+        grouped = _overlay(grouped, per_class, "class").where(F.col("cnt0").isNotNull())
     return grouped.select(
         "class", F.col("cnt0").alias("cnt"), F.round("mean0", digits).alias("mean"),
-        F.round(median, digits).alias("median"), F.round("min0", digits).alias("min"),
+        F.round("median0", digits).alias("median"), F.round("min0", digits).alias("min"),
         F.round("max0", digits).alias("max")).orderBy(F.col("class").asc_nulls_last())
 
 

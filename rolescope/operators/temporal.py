@@ -25,14 +25,14 @@ def time_cube(df: DataFrame, time: str, by: tuple[str, ...] = ()) -> DataFrame:
 
 
 def by_part(df: DataFrame, part: str, *, time: str | None = None, weight: str | None = None,
-            denominator_rows: str = "all", keep_null: bool = False) -> DataFrame:
+            denominator: str = "all", keep_null: bool = False) -> DataFrame:
     """``part[, name], cnt, pct`` for one calendar part.
 
     Give ``time`` to read raw rows, or ``weight`` to roll up a :func:`time_cube`. NULL times are
     left out unless ``keep_null``; what the shares divide by is a separate, explicit choice.
     """
     source = df if time is None else df.select(timeparts.part(part, ref(time)).alias(part))
-    result = shares(group_counts(source, [part], weight), denominator_rows=denominator_rows,
+    result = shares(group_counts(source, [part], weight), denominator=denominator,
                     keep_null=keep_null)
     if part in timeparts.NAMES:
         result = result.select(part, timeparts.part_name(part, F.col(part)).alias("name"),
@@ -41,15 +41,14 @@ def by_part(df: DataFrame, part: str, *, time: str | None = None, weight: str |
 
 
 def by_part_both_shares(df: DataFrame, part: str, time: str) -> DataFrame:
-    """As :func:`by_part` with the NULL bucket kept and both denominators side by side."""
+    """As :func:`by_part` with both denominators side by side; NULL times are 'unknown'."""
     counts = group_counts(df.select(timeparts.part(part, ref(time)).alias(part)), [part])
     total = totals(counts)
-    return counts.select(
-        part, "cnt",
+    return counts.orderBy(F.col(part).asc_nulls_last()).select(
+        F.coalesce(F.col(part).cast("string"), F.lit("unknown")).alias(part), "cnt",
         pct(F.col("cnt"), total.getField("all")).alias("pct_all"),
         F.when(F.col("keyed") > 0, pct(F.col("cnt"), total.getField("non_null")))
-        .alias("pct_non_null"),
-    ).orderBy(F.col(part).asc_nulls_last())
+        .alias("pct_non_null"))
 
 
 def all_parts(cube: DataFrame) -> DataFrame:
@@ -84,6 +83,6 @@ def year_over_year(df: DataFrame, time: str) -> DataFrame:
              .groupBy("year").agg(n_rows().alias("cnt")))
     order = Window.orderBy("year")
     prev = F.when(F.lag("year").over(order) == F.col("year") - 1, F.lag("cnt").over(order))
-    return (years.withColumn("prev", prev)
+    return (years.withColumn("prev", prev.cast("double"))
             .withColumn("growth_pct", _growth(F.col("cnt"), F.col("prev")))
             .orderBy("year"))

@@ -12,9 +12,10 @@ from rolescope.operators import (anomalies, buckets, crosstab, evaluate, feature
 from rolescope.operators.anomalies import Rule
 from rolescope.operators.counts import distribution
 from rolescope.plans import sqlreports, views
-from rolescope.plans.views import CLASSES, EVENTS, LINES, MODEL, ORDERS
+from rolescope.plans.views import CLASSES, LINES, MODEL, ORDERS
 from rolescope.session import scratch_path
 from rolescope.sources import models, reports, tables
+from rolescope.sources.schemas import schema_of
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -182,7 +183,7 @@ def by_hour(spark, d):
 @query
 def by_hour_known(spark, d):
     return temporal.by_part(views.events(spark, d), "hour", time="trusted_ts",
-                            denominator_rows="non_null")
+                            denominator="non_null")
 
 
 @query
@@ -451,9 +452,9 @@ def parse_audit(spark, d):
         F.col("o_orderpriority").alias("priority_number"))
     path = scratch_path(spark, "orders-text")
     tables.write_csv(text, path)
-    wanted = ("o_orderkey bigint, o_totalprice double, strict_time timestamp, "
-              "plain_time timestamp, priority_number int")
-    schema = spark.createDataFrame([], wanted).schema
+    schema = schema_of({"o_orderkey": "bigint", "o_totalprice": "double",
+                        "strict_time": "timestamp", "plain_time": "timestamp",
+                        "priority_number": "int"})
     return tables.audit_csv(spark, path, schema, (tables.STRICT_TIME,))
 
 

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from pyspark.errors import AnalysisException, PySparkException
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
@@ -127,7 +128,7 @@ def _matches(spark: SparkSession, path: str, rows: int, columns: int) -> bool:
     try:
         there = read_parquet(spark, path)
         return len(there.columns) == columns and there.count() == rows
-    except (AnalysisException, PySparkException):  # missing or unreadable
+    except (PySparkException, Py4JJavaError):  # missing or unreadable
         return False
 
 

@@ -1,0 +1,192 @@
+"""Split, weights, preprocessing, training, evaluation and scoring."""
+
+from __future__ import annotations
+
+import pytest
+from conftest import rows
+from pyspark.ml.evaluation import MulticlassClassificationEvaluator
+from pyspark.sql import functions as F
+
+from rolescope.functions.encode import class_index, class_of
+from rolescope.operators import evaluate, features, score, split, train
+from rolescope.operators.features import FeatureSpec
+from rolescope.roles import Roles
+from rolescope.sources import models
+
+CLASSES = (1, 2, 3, 4)
+SPEC = FeatureSpec(Roles(
+    id=("id",), label="cls", label_values=CLASSES, start_time="start", numeric=("x", "y"),
+    categorical=("place",), flags=("flag",), forbidden=("id", "cls", "start")))
+
+
+@pytest.fixture(scope="module")
+def table(spark, tmp_path_factory):
+    """Class depends on x, place and flag; some values are missing."""
+    n = F.col("id")
+    df = spark.range(2000).select(
+        n, F.when(n % 9 != 0, (n * 7919 % 1000) / 10.0).alias("x"),
+        (n * 104729 % 97).cast("double").alias("y"),
+        F.when(n % 13 != 0, F.concat(F.lit("p"), n % 5)).alias("place"),
+        F.when(n % 11 != 0, n % 3 == 0).alias("flag"),
+        F.timestamp_seconds(F.when(n % 17 != 0, 1_600_000_000 + n * 7200)).alias("start"))
+    cls = (F.when(F.col("x") > 75, 4).when(F.col("place") == "p1", 3)
+           .when(F.col("flag"), 2).otherwise(1))
+    path = str(tmp_path_factory.mktemp("table") / "rows")
+    df.withColumn("cls", cls).write.parquet(path)
+    return spark.read.parquet(path)
+
+
+@pytest.fixture(scope="module")
+def trained(table):
+    result = train.train_and_evaluate(table, SPEC, ("id",), {
+        "Logistic Regression": {}, "Decision Tree": {}, "Random Forest": {"numTrees": 5}})
+    yield result
+    result.release()
+
+
+def test_split_ignores_partitioning(table):
+    a = split.with_split(table, ("id",)).where("split = 'train'")
+    b = split.with_split(table.repartition(7), ("id",)).where("split = 'train'")
+    assert sorted(r["id"] for r in a.collect()) == sorted(r["id"] for r in b.collect())
+    assert 0.75 < a.count() / 2000 < 0.85
+
+
+def test_split_distribution_adds_up(table):
+    sided = split.with_split(table, ("id",))
+    assert sum(r["cnt"] for r in split.split_counts(sided).collect()) == 2000
+    per_class = split.split_class_distribution(sided, "cls").collect()
+    for side in ("train", "test"):
+        assert abs(sum(r["pct"] for r in per_class if r["split"] == side) - 100) < 0.05
+
+
+def test_random_split_covers_all_rows(table):
+    a, b = split.random_split(table)
+    assert a.count() + b.count() == 2000
+
+
+def test_weights_are_balanced(spark):
+    df = spark.createDataFrame([(1,)] * 6 + [(2,)] * 3 + [(4,)], "cls int")
+    weights = {r["class"]: (r["n"], r["weight"])
+               for r in split.class_weights(df, "cls", CLASSES).collect()}
+    assert weights == {1: (6, 10 / 24), 2: (3, 10 / 12), 3: (0, 10 / 4), 4: (1, 10 / 4)}
+    assert abs(sum(n * w for n, w in weights.values()) - 10 * 3 / 4) < 1e-9
+    other = spark.createDataFrame([(2,), (9,), (None,)], "cls int")
+    got = split.with_class_weight(other, split.class_weights(df, "cls", CLASSES), "cls")
+    assert [r["class_weight"] for r in got.collect()] == [10 / 12, 1.0, 1.0]
+
+
+def test_published_weights(spark):
+    """Weights of a four-class training table of known size, to four digits."""
+    counts = {1: 54009, 2: 4925105, 3: 1039766, 4: 164036}
+    total = sum(counts.values())
+    assert total == 6_182_916
+    df = spark.createDataFrame([(c, n) for c, n in counts.items()], "cls int, n bigint")
+    one = df.select("cls", F.round(F.lit(total) / (4 * F.col("n")), 4).alias("w"))
+    assert [r["w"] for r in one.orderBy("cls").collect()] == [28.6198, 0.3138, 1.4866, 9.4231]
+
+
+def test_feature_frame_defaults(spark):
+    df = spark.createDataFrame([(1, 3, None, 2.0, None, None, None)],
+                               "id int, cls int, x double, y double, place string, flag boolean, "
+                               "start timestamp")
+    got = features.feature_frame(df, SPEC).first().asDict()
+    assert got == {"label": 2.0, "x": None, "y": 2.0, "place": "Unknown", "flag": 0.0,
+                   "year": 2020.0, "month": 6.0, "dow": 4.0, "hour": 12.0}
+
+
+def test_class_index_is_invertible(spark):
+    df = spark.createDataFrame([(c,) for c in (2, 5, 9, 7, None)], "c int")
+    i = class_index(F.col("c"), (2, 5, 9))
+    assert rows(df.select(i, class_of(i, (2, 5, 9)))) == [
+        (0.0, 2), (1.0, 5), (2.0, 9), (None, None), (None, None)]
+
+
+def test_leaks_are_refused(table):
+    leaky = FeatureSpec(SPEC.roles.but(numeric=("x", "cls")))
+    with pytest.raises(ValueError, match="cls"):
+        features.feature_frame(table, leaky)
+    status = {r["column"]: r["status"] for r in features.role_audit(table, leaky).collect()}
+    assert status["cls"] == "leak" and status["x"] == "used" and status["id"] == "excluded"
+    assert status["y"] == "unassigned"
+
+
+def test_wide_categories_are_refused(table):
+    with pytest.raises(ValueError, match="place"):
+        features.check_category_width(table, ("place",), limit=2)
+    with pytest.raises(Exception, match="more than 2 categories"):
+        features.category_index(table, "place", limit=2).collect()
+
+
+def test_category_index_matches_the_estimator(table):
+    known = table.where(F.col("place").isNotNull())
+    fitted = features.preprocessing(FeatureSpec(SPEC.roles.but(numeric=()))).fit(
+        features.feature_frame(known, FeatureSpec(SPEC.roles.but(numeric=()))))
+    labels = fitted.stages[0].labelsArray[0]
+    ours = [r["category"] for r in features.category_index(known, "place").collect()]
+    assert ours == list(labels)
+
+
+def test_impute_uses_the_training_median(table):
+    train_side = table.where("id < 1000")
+    median = sorted(r["x"] for r in train_side.where("x is not null").collect())
+    got = features.impute_median(table, "x", train_side, ("id",)).orderBy("id").collect()
+    assert got[0]["x"] == median[(len(median) + 1) // 2 - 1]
+    assert got[1]["x"] is not None
+
+
+def test_metrics_of_a_known_matrix(spark):
+    """Rounded metrics of a published 4-class result follow from its precision and recall."""
+    df = spark.createDataFrame(
+        [(1, 1)] * 8 + [(1, 2)] * 2 + [(2, 2)] * 5 + [(2, 1)] * 5 + [(3, 2)] * 4, "y int, p int")
+    matrix = evaluate.confusion_matrix(df, "y", {"m": "p"}, CLASSES)
+    assert matrix.count() == 16
+    assert rows(evaluate.per_class_metrics(matrix)) == [
+        ("m", 1, 0.6154, 0.8, 0.6957, 10), ("m", 2, 0.4545, 0.5, 0.4762, 10),
+        ("m", 3, 0.0, 0.0, 0.0, 4), ("m", 4, 0.0, 0.0, 0.0, 0)]
+    summary = evaluate.summary_metrics(matrix).first()
+    assert summary["accuracy"] == summary["weighted_recall"] == 0.5417
+    assert summary["macro_f1"] == round((0.695652 + 0.476190) / 4, 4)
+
+
+def test_metrics_agree_with_the_evaluator(trained):
+    for i, name in enumerate(trained.models):
+        frame = trained.scored.select(
+            class_index(F.col("cls"), CLASSES).alias("label"),
+            class_index(F.col(f"class{i}"), CLASSES).alias("prediction"))
+        ours = trained.comparison().where(F.col("model") == name).first()
+        for metric, column in (("accuracy", "accuracy"), ("f1", "weighted_f1"),
+                               ("weightedPrecision", "weighted_precision"),
+                               ("weightedRecall", "weighted_recall")):
+            theirs = MulticlassClassificationEvaluator(metricName=metric).evaluate(frame)
+            assert abs(theirs - ours[column]) < 1e-4, (name, metric)
+
+
+def test_models_learn_and_cover_all_test_rows(trained):
+    assert trained.train_rows + trained.test_rows == 2000
+    got = {r["model"]: r for r in trained.comparison().collect()}
+    assert set(got) == set(train.MODELS)
+    assert got["Decision Tree"]["accuracy"] > 0.9
+    assert all(r["training_time_s"] > 0 for r in got.values())
+    assert evaluate.best_model(trained.comparison()).count() == 1
+
+
+def test_saved_pipeline_scores_raw_rows(trained, table, tmp_path):
+    path = str(tmp_path / "tree")
+    models.save_model(trained.models["Decision Tree"], path)
+    unlabelled = table.drop("cls")
+    scored = score.score(unlabelled, models.load_model(path), SPEC, ("id",),
+                         {1: "low", 2: "mid", 3: "high", 4: "top"})
+    assert scored.columns == ["id", "predicted_class", "p_1", "p_2", "p_3", "p_4",
+                              "confidence_pct", "description"]
+    assert scored.count() == 2000
+    bad = scored.where(F.abs(F.col("p_1") + F.col("p_2") + F.col("p_3") + F.col("p_4") - 1) > 1e-3)
+    assert bad.count() == 0
+    before = trained.scored.select("id", F.col("class1").alias("was"))
+    assert scored.join(before, "id").where("predicted_class <> was").count() == 0
+    assert rows(score.sample(scored, ("id",), 2).select("id")) == [(0,), (1,)]
+
+
+def test_unseen_category_is_scored(trained, table):
+    odd = table.limit(3).withColumn("place", F.lit("nowhere"))
+    got = score.score(odd, trained.models["Logistic Regression"], SPEC, ("id",))
+    assert got.where("predicted_class IS NOT NULL").count() == 3
