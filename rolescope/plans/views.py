@@ -46,6 +46,13 @@ MODEL = FeatureSpec(Roles(
                "l_shipdate", "shipped", "l_discount", "l_tax", "never")))
 
 
+# The same with about as many one-hot slots as the incident model has, for timing fits.
+WIDE_MODEL = FeatureSpec(MODEL.roles.but(
+    categorical=("l_returnflag", "l_linestatus", "p_brand", "p_type", "p_name", "p_size",
+                 "n_name", "r_name", "c_mktsegment", "o_orderstatus"),
+    forbidden=(*MODEL.roles.forbidden, "o_orderpriority")))
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return pin_utc(spark).read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
@@ -94,6 +101,15 @@ def model_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
                                       .drop("p_partkey")
 
 
+def wide_model_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines with order, customer and part attributes."""
+    parts = table(spark, sf_dir, "part").withColumn("p_size", F.col("p_size").cast("string"))
+    header = orders_geo(spark, sf_dir).drop("o_custkey", "o_totalprice", "c_acctbal")
+    return (lines(spark, sf_dir)
+            .join(header, F.col("l_orderkey") == F.col("o_orderkey")).drop("o_orderkey")
+            .join(parts, F.col("l_partkey") == F.col("p_partkey")).drop("p_partkey"))
+
+
 def events(spark: SparkSession, sf_dir: str) -> DataFrame:
     kinds = F.array(*[F.lit(t) for t in EVENT_TYPES])
     return table(spark, sf_dir, "events").withColumns({
