@@ -432,6 +432,19 @@ def copy_check(spark, d):
                               content=True).select("check", "passed")
 
 
+@query
+def report_roundtrip(spark, d):
+    path = scratch_path(spark, "report")
+    reports.write_report(class_by_geo(spark, d), path)
+    counters = ", ".join(f"class_{c} bigint" for c in CLASSES)
+    return reports.read_report(spark, path, f"n_name string, {counters}, total bigint")
+
+
+@query
+def footprint(spark, d):
+    return tables.footprint(spark, f"{d.rstrip('/')}/lineitem.parquet")
+
+
 @query
 def line_reconciliation(spark, d):
     source = views.table(spark, d, "lineitem")

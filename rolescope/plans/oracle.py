@@ -84,6 +84,14 @@ SELECT CAST(SUM(cnt) AS BIGINT) AS total_rows, COUNT(*) AS distinct_keys,
        CAST(SUM(cnt) - COUNT(*) AS BIGINT) AS duplicate_rows,
        COUNT(*) FILTER (cnt > 1) AS repeated_keys, MAX(cnt) AS most_copies FROM ({COPIES})"""
 ORACLE["repeated_keys"] = f"SELECT * FROM ({COPIES}) WHERE cnt > 1"
+SPARK_TYPES = {"BIGINT": "bigint", "INTEGER": "int", "VARCHAR": "string", "DOUBLE": "double",
+               "TIMESTAMP": "timestamp_ntz"}
+ORACLE["schema_report"] = """
+SELECT CAST(column_index AS INTEGER) AS position, column_name AS column,
+       CASE data_type """ + " ".join(
+    f"WHEN '{k}' THEN '{v}'" for k, v in SPARK_TYPES.items()) + """ END AS type
+FROM duckdb_columns() WHERE table_name = 'orders'
+UNION ALL SELECT 7, 'class', 'int'"""
 ORACLE["distinct_values"] = "SELECT event_type, COUNT(*) AS n FROM events GROUP BY event_type"
 ORACLE["distinct_summary"] = f"""
 SELECT COUNT(DISTINCT class) AS n_values, MIN(class) AS min_value, MAX(class) AS max_value
@@ -351,6 +359,7 @@ SELECT rule, dim, value, cnt, rank FROM r WHERE rank <= 5"""
 ORACLE["csv_roundtrip"] = "SELECT * FROM orders"
 ORACLE["parquet_roundtrip"] = "SELECT * FROM orders"
 ORACLE["partitioned_roundtrip"] = "SELECT * FROM events"
+ORACLE["report_roundtrip"] = CLASS_BY_GEO
 ORACLE["copy_check"] = union(f'SELECT \'{c}\' AS "check", TRUE AS passed' for c in (
     "row_count", "column_count", "column_types", "content"))
 ORACLE["line_reconciliation"] = """
@@ -390,6 +399,16 @@ SELECT l_orderkey, l_linenumber, CAST(class - 1 AS DOUBLE) AS label, l_quantity,
        {', '.join(f"coalesce(CAST({part(p, 'shipped')} AS DOUBLE), {x}::DOUBLE) AS {p}"
                   for p, x in (("year", 2020), ("month", 6), ("dow", 4), ("hour", 12)))}
 FROM ({LINES_ORDERS})"""
+USED = {"numeric": ("l_quantity", "l_extendedprice", "discount", "tax", "p_retailprice"),
+        "categorical": ("l_returnflag", "l_linestatus", "p_brand", "p_type"),
+        "flag": ("is_returned", "is_open", "full_price", "bulk"),
+        "time_part": ("year", "month", "dow", "hour")}
+EXCLUDED = ("class", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "o_orderdate",
+            "l_shipdate", "shipped", "l_discount", "l_tax", "never")
+ORACLE["role_audit"] = union(
+    f"SELECT '{c}' AS column, '{role}' AS role, 'used' AS status"
+    for role, columns in USED.items() for c in columns) + " UNION ALL " + union(
+    f"SELECT '{c}', 'forbidden', 'excluded'" for c in EXCLUDED)
 SIDED = f"SELECT *, {SPLIT.format(id='o_orderkey')} AS split FROM ({ORDERS})"
 ORACLE["split_counts"] = \
     f"SELECT split, cnt, {pct('cnt', 'total')} AS pct FROM ({counts(SIDED, 'split')})"
