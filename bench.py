@@ -1,8 +1,8 @@
 """Time the headline queries and the model fits; print one JSON line.
 
-``BENCH_SF_DIR`` names the tables, ``BENCH_CPUS`` the local cores. Every query runs twice and is
-fully evaluated without collecting rows; the second, warm time counts, the first is kept beside
-it. Fits are also reported as training rows per second, the unit of the published baseline.
+``BENCH_SF_DIR`` names the tables, ``BENCH_CPUS`` the local cores. Every query is fully evaluated
+without collecting rows, and runs twice unless the first run took over ten seconds; the last time
+counts, the first is kept beside it. Fits are also reported as training rows per second, the unit of the published baseline.
 """
 
 from __future__ import annotations
@@ -87,7 +87,8 @@ def main() -> None:
     for name in HEADLINE:
         query = catalog.QUERIES[name]
         first[name] = timed(lambda: run(query(spark, SF_DIR)))
-        warm[name] = timed(lambda: run(query(spark, SF_DIR)))
+        warm[name] = (first[name] if first[name] > 10
+                      else timed(lambda: run(query(spark, SF_DIR))))
     fit_seconds, fit_info = fits(spark)
     warm.update(fit_seconds)
     speedup = per_column_forms(spark)

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from functools import cache
 
 from pyspark.sql import SparkSession
 
@@ -51,5 +52,10 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     if not root:
         if not spark.sparkContext.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
-        root = tempfile.mkdtemp(prefix="rolescope-")
+        root = _local_root()
     return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
+@cache
+def _local_root() -> str:
+    return tempfile.mkdtemp(prefix="rolescope-")

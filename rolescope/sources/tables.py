@@ -10,8 +10,8 @@ from pyspark.sql.types import StringType, StructField, StructType
 
 from rolescope.functions.columns import n_rows
 from rolescope.operators.profile import content_fingerprint
-from rolescope.operators.quality import (Check, expect_columns, expect_rows, parse_audit,
-                                         quality_report, require)
+from rolescope.operators.quality import (Check, expect_columns, expect_rows, expect_type,
+                                         parse_audit, quality_report, require)
 
 # Timestamp text, with and without fractional seconds.
 STRICT_TIME = "yyyy-MM-dd HH:mm:ss"
@@ -113,14 +113,17 @@ def convert(spark: SparkSession, source: DataFrame, path: str, *, expected_rows:
     """Write ``source`` as Parquet unless ``path`` already holds it. True when it wrote.
 
     One rule covers every state of the target: unless it is readable and has the expected rows
-    and columns, it is overwritten. The result is verified before returning.
+    and columns, it is overwritten. The result is verified before returning: rows, columns and,
+    except for partition columns, whose types a reader infers from folder names, types.
     """
     if _matches(spark, path, expected_rows, len(source.columns)):
         return False
     write_parquet(source, path, partition_by)
     written = read_parquet(spark, path)
-    require(quality_report(written, [expect_rows(expected_rows),
-                                     expect_columns(written, len(source.columns))]))
+    require(quality_report(written, [
+        expect_rows(expected_rows), expect_columns(written, len(source.columns)),
+        *[expect_type(written, f.name, f.dataType.simpleString()) for f in source.schema
+          if f.name not in partition_by]]))
     return True
 
 

@@ -7,6 +7,7 @@ from conftest import rows
 from pyspark.sql import functions as F
 
 from rolescope.operators import quality
+from rolescope.plans import sqlreports
 from rolescope.sources import reports, tables
 from rolescope.sources.schemas import schema_of
 
@@ -116,6 +117,29 @@ def test_verify_copy_sees_changed_content(spark, csv, tmp_path):
     assert failed == ["content"]
 
 
+def test_hot_partition_value_is_split_over_files(spark, tmp_path):
+    """Three quarters of the rows share one partition value; no single task writes them all."""
+    df = spark.range(40_000).select(
+        F.when(F.col("id") % 4 == 0, "cold").otherwise("hot").alias("k"),
+        F.sha2(F.col("id").cast("string"), 256).alias("payload"))
+    size = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    before = spark.conf.get(size)
+    out = tmp_path / "skewed"
+    try:
+        spark.conf.set(size, "256KB")
+        tables.write_parquet(df.repartition(16), str(out), ("k",))
+    finally:
+        spark.conf.set(size, before)
+    assert len(list((out / "k=hot").glob("*.parquet"))) > 1
+    assert tables.read_parquet(spark, str(out)).count() == 40_000
+
+
+def test_registered_view_answers_sql(spark, csv):
+    sqlreports.register(tables.read_csv(spark, csv, SCHEMA), "incidents_view")
+    got = spark.sql("SELECT flag, COUNT(*) AS n FROM incidents_view GROUP BY flag ORDER BY flag")
+    assert rows(got) == [(None, 2), (False, 1), (True, 2)]
+
+
 def test_head_sample(spark, csv, tmp_path):
     out = str(tmp_path / "head")
     tables.head_sample(tables.read_csv(spark, csv, SCHEMA), out, 2)
