@@ -2,7 +2,8 @@
 
 ``BENCH_SF_DIR`` names the tables, ``BENCH_CPUS`` the local cores. Every query is fully evaluated
 without collecting rows, and runs twice unless the first run took over ten seconds; the last time
-counts, the first is kept beside it. Fits are also reported as training rows per second, the unit of the published baseline.
+counts, the first is kept beside it. Fits are also reported as training rows per second, the unit
+of the published baseline.
 """
 
 from __future__ import annotations

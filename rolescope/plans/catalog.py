@@ -627,8 +627,8 @@ def _scored(spark, d):
     path = scratch_path(spark, "model")
     models.save_model(trained.models[SCORED_AS], path)
     trained.release()
-    return score.score(views.model_rows(spark, d), models.load_model(path), MODEL, MODEL.roles.id,
-                       DESCRIPTIONS)
+    return score.score(train.spread(views.model_rows(spark, d)), models.load_model(path), MODEL,
+                       MODEL.roles.id, DESCRIPTIONS)
 
 
 @query

@@ -23,7 +23,7 @@ from rolescope.operators.buckets import Buckets
 from rolescope.operators.counts import distribution
 from rolescope.operators.features import FeatureSpec
 from rolescope.operators.quality import Check
-from rolescope.operators.train import Trained, train_and_evaluate
+from rolescope.operators.train import Trained, spread, train_and_evaluate
 from rolescope.plans import sqlreports
 from rolescope.roles import Roles
 from rolescope.sources import models, reports, tables
@@ -192,4 +192,4 @@ def scoring(df: DataFrame, model_dir: str, spec: FeatureSpec, ids: tuple[str, ..
             descriptions: dict[int, str] | None = None) -> None:
     """Score a table with a saved pipeline and write the result as Parquet."""
     model = models.load_model(model_dir)
-    tables.write_parquet(score.score(df, model, spec, ids, descriptions), out)
+    tables.write_parquet(score.score(spread(df), model, spec, ids, descriptions), out)

@@ -1,4 +1,4 @@
-"""Plans must scale: pruned and filtered scans, one pass per report, no cross products, no Python."""
+"""Plans must scale: pruned, filtered scans, one pass per report, no cross products or Python."""
 
 from __future__ import annotations
 
