@@ -73,14 +73,16 @@ def _growth(cnt: Column, prev: Column) -> Column:
     return F.round(ratio((cnt - prev) * 100, prev), 2)
 
 
-def year_over_year(df: DataFrame, time: str) -> DataFrame:
+def year_over_year(df: DataFrame, time: str | None = None, *,
+                   weight: str | None = None) -> DataFrame:
     """``year, cnt, prev, growth_pct``; a year whose predecessor is absent has no growth.
 
-    The window runs over one row per calendar year.
+    Reads raw rows by ``time`` or rolls up a :func:`time_cube` by ``weight``. The window runs
+    over one row per calendar year.
     """
-    years = (df.select(timeparts.part("year", ref(time)).alias("year"))
-             .where(F.col("year").isNotNull())
-             .groupBy("year").agg(n_rows().alias("cnt")))
+    source = df if time is None else df.select(timeparts.part("year", ref(time)).alias("year"))
+    cnt = n_rows() if weight is None else F.sum(weight)
+    years = (source.where(F.col("year").isNotNull()).groupBy("year").agg(cnt.alias("cnt")))
     order = Window.orderBy("year")
     prev = F.when(F.lag("year").over(order) == F.col("year") - 1, F.lag("cnt").over(order))
     return (years.withColumn("prev", prev.cast("double"))

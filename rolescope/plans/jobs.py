@@ -97,7 +97,7 @@ def analytics_reports(df: DataFrame, roles: Roles, histogram: Buckets,
                       focus_flags: tuple[str, ...]) -> Iterator[Reports]:
     """All distribution reports of a table; the shared aggregates live inside the ``with``.
 
-    Three aggregates feed fourteen reports: rows per calendar slot and class (bounded by the
+    Three aggregates feed fifteen reports: rows per calendar slot and class (bounded by the
     calendar), per place and class, per condition and class. They are persisted, not collected;
     losing an executor only recomputes its part of them.
     """
@@ -124,6 +124,7 @@ def analytics_reports(df: DataFrame, roles: Roles, histogram: Buckets,
         "class_distribution": distribution(slots, label, weight="cnt"),
         "class_by_state": crosstab.crosstab(places, roles.state, label, classes, weight="cnt"),
         "by_year": temporal.by_part(slots, "year", weight="cnt"),
+        "year_over_year": temporal.year_over_year(slots, weight="cnt"),
         "by_month": temporal.by_part(slots, "month", weight="cnt"),
         "by_day_of_week": temporal.by_part(slots, "dow", weight="cnt"),
         "by_hour": temporal.by_part(slots, "hour", weight="cnt"),

@@ -81,7 +81,7 @@ def test_analytics_reports(spark, parquet, workdir):
     out = workdir / "analytics"
     main(["analytics", "--input", parquet, "--output", str(out)])
     made = {d.name for d in out.iterdir()}
-    assert len(made) == 26 and {"overview", "by_hour", "sql_class_by_state"} <= made
+    assert len(made) == 27 and {"overview", "by_hour", "sql_class_by_state"} <= made
     by_class = spark.read.csv(f"{out}/class_distribution", header=True, inferSchema=True)
     by_sql = spark.read.csv(f"{out}/sql_class_share", header=True, inferSchema=True)
     assert rows(by_class) == rows(by_sql)
