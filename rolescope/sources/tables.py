@@ -22,16 +22,17 @@ CORRUPT = "_corrupt_record"
 
 def read_csv(spark: SparkSession, path: str, schema: StructType, *,
              time_format: str = TIME_WITH_FRACTION, keep_corrupt: bool = False,
-             multiline: bool = False, blank_as_null: bool = True) -> DataFrame:
+             multiline: bool = False, blank_as_null: bool = True, escape: str = "\\") -> DataFrame:
     """Header CSV with an explicit schema; a malformed value becomes NULL.
 
     The default time format takes optional fractions of a second: with a strict format a value
     such as ``05:46:00.000000000`` turns into NULL unnoticed. ``keep_corrupt`` adds the raw text
     of malformed rows. With ``blank_as_null=False`` a quoted empty value stays an empty string.
+    Give ``escape='"'`` for files that double their quotes instead of using a backslash.
     """
     reader = (spark.read.option("header", True).option("mode", "PERMISSIVE")
               .option("timestampFormat", time_format).option("timestampNTZFormat", time_format)
-              .option("multiLine", multiline))
+              .option("multiLine", multiline).option("escape", escape))
     if not blank_as_null:
         reader = reader.option("nullValue", "\u0000").option("emptyValue", "")
     if keep_corrupt:
@@ -70,12 +71,15 @@ def write_parquet(df: DataFrame, path: str, partition_by: tuple[str, ...] = ())
         df.write.mode("overwrite").parquet(path)
 
 
-def write_csv(df: DataFrame, path: str) -> None:
+def write_csv(df: DataFrame, path: str, escape: str = "\\") -> None:
     """Overwrite ``path`` with header CSV files, one per partition.
 
-    Empty strings are quoted and NULLs are bare, so the two stay apart when read back.
+    Empty strings are quoted and NULLs are bare, so the two stay apart when read back; padding
+    around text is kept.
     """
     df.write.mode("overwrite").option("header", True).option("emptyValue", '""') \
+      .option("escape", escape).option("ignoreLeadingWhiteSpace", False) \
+      .option("ignoreTrailingWhiteSpace", False) \
       .option("timestampFormat", "yyyy-MM-dd HH:mm:ss.SSSSSS") \
       .option("timestampNTZFormat", "yyyy-MM-dd HH:mm:ss.SSSSSS").csv(path)
 

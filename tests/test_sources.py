@@ -85,6 +85,26 @@ def test_embedded_newline_shows_as_difference(spark, tmp_path):
     assert lines["data_lines"] == 3
 
 
+def test_awkward_text_survives_csv(spark, tmp_path):
+    texts = ["plain", 'say ""hi""', '"', "a,b", "two\nlines", "", None, " padded ", "ends\\"]
+    df = spark.createDataFrame(list(enumerate(texts)), "id int, note string")
+    schema = schema_of({"id": "int", "note": "string"})
+    tables.write_csv(df, str(tmp_path / "out"), escape='"')
+    back = tables.read_csv(spark, str(tmp_path / "out"), schema, multiline=True, escape='"',
+                           blank_as_null=False)
+    got = dict(rows(back))
+    assert {i: t for i, t in enumerate(texts) if t is not None} == {
+        i: t for i, t in got.items() if texts[i] is not None}
+
+
+def test_doubled_quotes(spark, tmp_path):
+    path = tmp_path / "rfc.csv"
+    path.write_text('id,note\n1,"he said ""stop"", then left"\n2,x\n')
+    schema = schema_of({"id": "int", "note": "string"})
+    assert rows(tables.read_csv(spark, str(path), schema, escape='"')) == [
+        (1, 'he said "stop", then left'), (2, "x")]
+
+
 def test_convert_reuses_only_a_matching_target(spark, csv, tmp_path):
     source = tables.read_csv(spark, csv, SCHEMA)
     out = str(tmp_path / "out")
