@@ -78,28 +78,39 @@ def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     return _POWERS["up"], _POWERS["down"]
 
 
-def hash_words(data: np.ndarray, bounds: np.ndarray, fold: bool = False,
+def word_spans(data: np.ndarray, bounds: np.ndarray, gaps: np.ndarray = _SPACE,
                ) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes of all words of several texts, and where each text's words begin.
-
-    ``data`` holds the UTF-8 bytes, text ``i`` is ``data[bounds[i]:bounds[i + 1]]``. Returns 64-bit
-    word hashes and ``len(bounds)`` offsets into them. ``fold`` lower-cases A-Z.
-    """
+    """Byte positions at which words start and end; ``gaps`` marks the bytes between words."""
     n = len(data)
     gap = np.ones(n + 1, dtype=bool)
-    np.take(_SPACE, data, out=gap[:n])
-    start = ~gap[:n]
+    np.take(gaps, data, out=gap[:n])
     cut = np.zeros(n + 1, dtype=bool)
     cut[bounds] = True
-    start[1:] &= gap[:n - 1] | cut[1:n]
-    starts = np.flatnonzero(start)
-    end = ~gap[:n] & (gap[1:] | cut[1:])
-    ends = np.flatnonzero(end) + 1
+    start = ~gap[:n]
+    end = start & (gap[1:] | cut[1:])
+    start[1:] &= gap[:n - 1] | cut[1:n] if n else True
+    return np.flatnonzero(start), np.flatnonzero(end) + 1
+
+
+def hash_spans(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, fold: bool = False,
+               ) -> np.ndarray:
+    """64-bit hashes of the given byte spans; ``fold`` lower-cases A-Z."""
+    n = len(data)
     up, down = _powers(n + 1)
     total = np.zeros(n + 1, dtype=_U)
     np.cumsum(_CODES[fold][data] * up[:n], out=total[1:])
-    words = mix((total[ends] - total[starts]) * down[starts] + (ends - starts).astype(_U))
-    return words, np.searchsorted(starts, bounds)
+    return mix((total[ends] - total[starts]) * down[starts] + (ends - starts).astype(_U))
+
+
+def hash_words(data: np.ndarray, bounds: np.ndarray, fold: bool = False,
+               ) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of all words of several texts, and where each text's words begin.
+
+    ``data`` holds the UTF-8 bytes, text ``i`` is ``data[bounds[i]:bounds[i + 1]]``. Returns 64-bit
+    word hashes and ``len(bounds)`` offsets into them.
+    """
+    starts, ends = word_spans(data, bounds)
+    return hash_spans(data, starts, ends, fold), np.searchsorted(starts, bounds)
 
 
 def text_slices(column: pa.Array, limit: int = SLICE_BYTES):
@@ -132,26 +143,17 @@ def rolling(words: np.ndarray, n: int) -> np.ndarray:
     return mix((total[n:] - total[:-n]) * down[:len(words) - n + 1])
 
 
-class Forest:
-    """Union-find over a bounded number of local items."""
-
-    def __init__(self, n: int):
-        self.parent = list(range(n))
-
-    def find(self, x: int) -> int:
-        root = x
-        while self.parent[root] != root:
-            root = self.parent[root]
-        while self.parent[x] != root:
-            self.parent[x], x = root, self.parent[x]
-        return root
-
-    def join(self, a: int, b: int) -> bool:
-        a, b = self.find(a), self.find(b)
-        if a == b:
-            return False
-        self.parent[max(a, b)] = min(a, b)
-        return True
+def local_roots(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """The smallest item reachable from each of ``n`` items over the given pairs (in one task)."""
+    root = np.arange(n)
+    while True:
+        low = root.copy()
+        np.minimum.at(low, a, root[b])
+        np.minimum.at(low, b, root[a])
+        low = low[low]
+        if (low == root).all():
+            return root
+        root = low
 
 
 def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
@@ -187,3 +189,43 @@ def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
         seen = now
     roots = state.select(F.col("v").alias("node"), F.col("v").alias("root")).distinct()
     return state.select(F.col("u").alias("node"), F.col("v").alias("root")).unionByName(roots)
+
+
+def average_models(updates: DataFrame, shape: tuple[int, ...]) -> np.ndarray | None:
+    """The mean of local models, weighted by what each has seen; None if nothing was.
+
+    ``updates`` has rows ``part, block, weight, delta``: a slice of one task's model change as
+    float32 bytes. Slices are added in groups of 32 tasks and then by slice, so that no task holds
+    more than a few of them for any number of partitions; the driver gets one model.
+    """
+    import pandas as pd
+
+    def add(group: pd.DataFrame) -> pd.DataFrame:
+        total = sum(np.frombuffer(d, dtype=np.float32) for d in group["delta"])
+        return pd.DataFrame({"part": [group["part"].iloc[0] // 32],
+                             "block": [group["block"].iloc[0]],
+                             "weight": [group["weight"].sum()], "delta": [total.tobytes()]})
+
+    schema = "part bigint, block int, weight double, delta binary"
+    scaled = updates.withColumn("part", F.floor(F.col("part") / 32).cast("bigint"))
+    once = scaled.groupBy("part", "block").applyInPandas(add, schema)
+    rows = (once.withColumn("part", F.lit(0).cast("bigint")).groupBy("part", "block")
+            .applyInPandas(add, schema).orderBy("block").collect())
+    if not rows or not rows[0]["weight"]:
+        return None
+    flat = np.concatenate([np.frombuffer(r["delta"], dtype=np.float32) for r in rows])
+    return flat.reshape(shape) / np.float32(rows[0]["weight"])
+
+
+def model_update(delta: np.ndarray, weight: float, blocks: int):
+    """Rows of ``average_models`` for one task: the change times its weight, in slices."""
+    from pyspark import TaskContext
+    parts = np.array_split((delta * np.float32(weight)).astype(np.float32).ravel(), blocks)
+    return pa.RecordBatch.from_arrays(
+        [pa.array([TaskContext.get().partitionId()] * blocks, pa.int64()),
+         pa.array(range(blocks), pa.int32()), pa.array([float(weight)] * blocks),
+         pa.array([p.tobytes() for p in parts], pa.binary())],
+        ["part", "block", "weight", "delta"])
+
+
+UPDATE = "part bigint, block int, weight double, delta binary"

@@ -8,11 +8,17 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from rolescope.llm import toxicity
 from rolescope.llm.base import documents
 from rolescope.llm.exact_dedup import exact_groups
+from rolescope.llm.line_templates import line_templates
+from rolescope.llm.lm_scoring import lm_scores
 from rolescope.llm.mixing import mix_plan
+from rolescope.llm.ngram_join import ngram_links
 from rolescope.llm.packing import pack
 from rolescope.llm.secrets import BASE, EXTRA, scan_ledger, span_text
+from rolescope.llm.substring_dedup import repeated_spans
+from rolescope.llm.vector_links import vector_links
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -96,3 +102,69 @@ def op10_secret_scan(spark, d):
         *[F.size(of(r.kind)).cast("bigint").alias(f"n_{r.kind}") for r in BASE],
         F.sha2(span_text(of(*[r.kind for r in BASE]), kinds), 256).alias("base_sha256"),
         span_text(F.col("spans"), kinds).alias("spans"))
+
+
+@query
+def op1_ngram_jaccard_join(spark, d):
+    return ngram_links(documents(spark, d))
+
+
+@query
+def op3_substring_dedup(spark, d):
+    return repeated_spans(documents(spark, d)).drop("factors")
+
+
+@query
+def op5_embedding_near_dedup(spark, d):
+    return vector_links(documents(spark, d, "embeddings"))
+
+
+@query
+def op6_line_template_dedup(spark, d):
+    return line_templates(documents(spark, d))
+
+
+ORACLE["op6_line_template_dedup"] = r"""
+WITH t AS (SELECT doc_id, coalesce(text, '') AS text, md5(coalesce(text, '')) AS key
+           FROM documents),
+texts AS (SELECT DISTINCT key, string_split(text, chr(10)) AS lines FROM t),
+numbered AS (SELECT key, unnest(range(len(lines))) AS line_no, unnest(lines) AS line FROM texts),
+tokens AS (SELECT key, line_no, [CASE WHEN regexp_matches(w, '[0-9]') THEN '<*>' ELSE w END
+               FOR w IN string_split_regex(line, '[ \t\r\f\x0B]+') IF w <> ''] AS tokens
+           FROM numbered),
+leaves AS (SELECT *, concat_ws(' ', len(tokens), array_to_string(tokens[1:3], ' ')) AS leaf
+           FROM tokens WHERE len(tokens) > 0),
+met AS (SELECT * FROM leaves WHERE leaf IN
+        (SELECT leaf FROM leaves GROUP BY leaf HAVING count(DISTINCT key) >= 5)),
+fields AS (SELECT leaf, unnest(range(len(tokens))) AS pos, unnest(tokens) AS token FROM met),
+counts AS (SELECT leaf, pos, token, count(*) AS c FROM fields GROUP BY ALL),
+top AS (SELECT leaf, pos, token, c, sum(c) OVER (PARTITION BY leaf, pos) AS lines,
+               row_number() OVER (PARTITION BY leaf, pos ORDER BY c DESC, token DESC) AS r
+        FROM counts),
+fixed AS (SELECT leaf, pos, token FROM top WHERE r = 1 AND c >= 0.5 * lines),
+placed AS (SELECT leaf, key, line_no, len(tokens) AS n, unnest(range(len(tokens))) AS pos,
+                  unnest(tokens) AS token FROM met),
+follow AS (SELECT p.leaf, p.key, p.line_no FROM placed p LEFT JOIN fixed f
+           ON p.leaf = f.leaf AND p.pos = f.pos AND p.token = f.token
+           GROUP BY p.leaf, p.key, p.line_no, p.n HAVING count(f.pos) >= 0.6 * p.n),
+gone AS (SELECT key, list(line_no) AS gone FROM follow WHERE leaf IN
+         (SELECT leaf FROM follow GROUP BY leaf HAVING count(DISTINCT key) >= 5) GROUP BY key),
+joined AS (SELECT t.doc_id, string_split(t.text, chr(10)) AS lines, coalesce(g.gone, []) AS gone
+           FROM t LEFT JOIN gone g USING (key))
+SELECT doc_id, len(lines) AS n_lines, len(gone) AS n_dropped,
+       array_to_string([l FOR l, i IN lines IF NOT list_contains(gone, i - 1)], chr(10)) AS text
+FROM joined"""
+
+
+@query
+def op7_lm_scoring(spark, d):
+    return lm_scores(documents(spark, d))
+
+
+@query
+def op8_toxicity(spark, d):
+    docs = documents(spark, d)
+    model = toxicity.train(docs, documents(spark, d, "labels"))
+    return toxicity.score(docs, model).select(
+        "doc_id", (F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary"))
+                   % 3 == 1).alias("held_out"), "score", "predicted", "offending")
