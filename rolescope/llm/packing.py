@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import struct
 import zlib
 from bisect import bisect_left, insort
 
@@ -18,50 +19,74 @@ END_ID = 1
 # Hash buckets in which the pieces of one length are numbered.
 BUCKETS = 1024
 # Words whose ids a worker remembers, and the longest word that it does.
-REMEMBERED, LONGEST = 250_000, 48
+REMEMBERED, LONGEST = 500_000, 48
 
 _MEMORY: dict = {}
 
 
+# Byte-level alphabet: a printable byte stands for itself, others take code points from 256 on.
+_PRINTABLE = [*range(33, 127), *range(161, 173), *range(174, 256)]
+_BYTE_CHARS = {b: 256 + i for i, b in enumerate(b for b in range(256) if b not in _PRINTABLE)}
+
+
+def _bytes(ids: list[int]) -> bytes:
+    return struct.pack(f"<{len(ids)}I", *ids)
+
+
+class _Known(dict):
+    """Ids by word; what is missing is asked of ``learn`` and kept."""
+
+    def __init__(self, learn):
+        super().__init__()
+        self.learn = learn
+
+    def __missing__(self, word: str) -> bytes:
+        ids = self.learn(word)
+        if len(word) <= LONGEST:
+            self[word] = ids
+        return ids
+
+
 class WordIds:
     """Little-endian 32-bit ids of texts, by a tokenizer that never merges across white space.
 
-    Each distinct word is encoded once while it is remembered; a full generation of words is
-    dropped when the next one has filled, so memory is bounded.
+    Words are looked up in a dictionary; a word not met lately is encoded, by its letters alone if
+    it is letters with one mark behind (the tokenizer separates letters from marks, and case does
+    not matter to it). Both dictionaries are emptied when full, so memory is bounded.
     """
 
     def __init__(self, path: str):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
-        self.new: dict[str, bytes] = {"": b""}
-        self.old: dict[str, bytes] = {}
-
-    def _learn(self, words: list[str]) -> None:
-        found = self.tokenizer.encode_batch(words, add_special_tokens=False)
-        for word, encoding in zip(words, found):
-            self.new[word] = np.asarray(encoding.ids, dtype="<u4").tobytes()
+        self.words, self.letters = _Known(self._word), _Known(self._letters)
+        self.marks = {m: self._ids(m) for m in ".,;:!?"}
+
+    def _ids(self, value: str) -> bytes:
+        return _bytes(self.tokenizer.encode(value, add_special_tokens=False).ids)
+
+    def _letters(self, value: str) -> bytes:
+        """Ids of lower-case letters of Latin-1, which normalisation leaves as they are."""
+        if not value.isascii():
+            value = value.encode().decode("latin-1").translate(_BYTE_CHARS)
+        return _bytes([t.id for t in self.tokenizer.model.tokenize(value)])
+
+    def _word(self, word: str) -> bytes:
+        if not word:
+            return b""
+        mark = self.marks.get(word[-1])
+        letters = word if mark is None else word[:-1]
+        if letters.isalpha() and max(letters) < "\u0100":
+            return self.letters[letters.lower()] + (mark or b"")
+        return self._ids(word)
 
     def encode(self, text: str) -> bytes:
-        words = text.replace("\n", " ").replace("\t", " ").split(" ")
-        new, old = self.new, self.old
-        missing = []
-        for word in set(words).difference(new):
-            known = old.get(word)
-            if known is None:
-                missing.append(word)
-            else:
-                new[word] = known
-        if missing:
-            self._learn(missing)
-        out = b"".join([new[w] for w in words])
-        if missing and max(map(len, missing)) > LONGEST:
-            for word in missing:
-                if len(word) > LONGEST:
-                    del new[word]
-        if len(new) > REMEMBERED:
-            self.old, self.new = new, {"": b""}
-        return out
+        for known in (self.words, self.letters):
+            if len(known) > REMEMBERED:
+                known.clear()
+        known = self.words
+        return b"".join([known[w] for w in
+                         text.replace("\n", " ").replace("\t", " ").split(" ")])
 
 
 def word_ids(path: str) -> WordIds:
