@@ -10,9 +10,14 @@ from pyspark.sql import functions as F
 _ALIAS_CHARS = {"%": "pct", "(": "_", ")": "", "/": "_per_", " ": "_", "-": "_", ".": "_", "`": ""}
 
 
+def quoted(name: str) -> str:
+    """A column name for SQL text, whatever characters it holds."""
+    return "`" + name.replace("`", "``") + "`"
+
+
 def ref(name: str) -> Column:
     """Reference a top-level column whatever characters its name holds."""
-    return F.col("`" + name.replace("`", "``") + "`")
+    return F.col(quoted(name))
 
 
 def safe_alias(prefix: str, name: str) -> str:

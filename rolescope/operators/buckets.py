@@ -14,8 +14,8 @@ from rolescope.functions.columns import n_rows, n_where, pct, ref, rows_from
 class Buckets:
     """Zero has a bucket of its own, then ``(edge, next edge]``, then above the last edge.
 
-    ``edges`` starts at 0 and ascends. NULL and negative values belong to no bucket: they count
-    in the denominator but get no row.
+    ``edges`` starts at 0 and ascends. Negative and missing values come last, each in a row of
+    their own, so that shares reach 100.
     """
 
     edges: tuple[float, ...]
@@ -54,6 +54,8 @@ def bucket_counts(df: DataFrame, column: str, buckets: Buckets) -> DataFrame:
     join against the list of buckets.
     """
     tests, labels = buckets.tests(ref(column)), buckets.labels()
+    tests = [*tests, ref(column) < 0, ref(column).isNull()]
+    labels = [*labels, "negative", "missing"]
     one = df.agg(n_rows().alias("total"),
                  *[n_where(t).alias(f"n{i}") for i, t in enumerate(tests)])
     return one.select(rows_from([

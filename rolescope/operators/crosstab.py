@@ -6,8 +6,6 @@ single shuffle, no discovery job, no pivot stage.
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -26,8 +24,13 @@ def _counters(label: str, classes: tuple[int, ...], weight: str | None) -> list[
             for c, n in zip(classes, names)]
 
 
-def _total(names: list[str]) -> Column:
-    return reduce(lambda a, b: a + b, [F.col(n) for n in names])
+def _total(label: str, classes: tuple[int, ...], weight: str | None) -> list[Column]:
+    """Rows outside the class list (NULL or another value), and all rows."""
+    listed = F.coalesce(ref(label).isin(*classes), F.lit(False))
+    if weight is None:
+        return [n_where(~listed).alias("class_other"), n_rows().alias("total")]
+    return [F.sum(F.when(listed, 0).otherwise(F.col(weight))).alias("class_other"),
+            F.sum(F.col(weight)).alias("total")]
 
 
 def crosstab_long(df: DataFrame, keys: list[str], label: str) -> DataFrame:
@@ -39,12 +42,14 @@ def crosstab_long(df: DataFrame, keys: list[str], label: str) -> DataFrame:
 def crosstab(df: DataFrame, key: str, label: str, classes: tuple[int, ...], *,
              top: int | None = None, weight: str | None = None,
              with_total: bool = True) -> DataFrame:
-    """``key, class_1.., total``: zero-filled, largest total first, optionally the first rows."""
-    names = class_columns(classes)
-    wide = df.groupBy(ref(key)).agg(*_counters(label, classes, weight))
+    """``key, class_1.., class_other, total``: zero-filled, largest total first, or the first rows.
+
+    ``total`` counts every row of the key; those without a listed class are ``class_other``.
+    """
+    counters = _counters(label, classes, weight)
     if not with_total:
-        return wide.orderBy(ref(key).asc_nulls_last())
-    ranked = (wide.withColumn("total", _total(names))
+        return df.groupBy(ref(key)).agg(*counters).orderBy(ref(key).asc_nulls_last())
+    ranked = (df.groupBy(ref(key)).agg(*counters, *_total(label, classes, weight))
               .orderBy(F.desc("total"), ref(key).asc_nulls_last()))
     return ranked.limit(top) if top else ranked
 
@@ -56,20 +61,17 @@ def top_crosstab(df: DataFrame, key: str, label: str, classes: tuple[int, ...],
     Ranking and class counts come from the same aggregate, so the rows are read once and no
     membership test against an earlier result is needed.
     """
-    names = class_columns(classes)
     wide = (df.where(ref(key).isNotNull()).groupBy(ref(key))
-            .agg(*_counters(label, classes, None), n_rows().alias("cnt")))
-    top = wide.orderBy(F.desc("cnt"), ref(key)).limit(k).drop("cnt")
-    return (top.withColumn("total", _total(names))
-            .orderBy(F.desc("total"), ref(key)))
+            .agg(*_counters(label, classes, None), *_total(label, classes, None)))
+    return wide.orderBy(F.desc("total"), ref(key)).limit(k)
 
 
 def row_percent(table: DataFrame, key: str, classes: tuple[int, ...], *,
                 digits: int = 2) -> DataFrame:
-    """``key, pct_1..``: each crosstab row as percentages of its own total."""
-    names = class_columns(classes)
+    """``key, pct_1.., pct_other``: each crosstab row as percentages of its own total."""
+    named = [*zip(classes, class_columns(classes)), ("other", "class_other")]
     return table.select(ref(key), *[
-        pct(F.col(n), _total(names), digits).alias(f"pct_{c}") for c, n in zip(classes, names)])
+        pct(F.col(n), F.col("total"), digits).alias(f"pct_{c}") for c, n in named])
 
 
 def class_within_flags(df: DataFrame, flags: tuple[str, ...], label: str) -> DataFrame:

@@ -89,9 +89,27 @@ def distinct_summary(df: DataFrame, column: str) -> DataFrame:
 
 
 def schema_report(df: DataFrame) -> DataFrame:
-    """``position, column, type``; metadata only, no scan."""
-    rows = [(i + 1, name, kind) for i, (name, kind) in enumerate(df.dtypes)]
-    return df.sparkSession.createDataFrame(rows, "position int, column string, type string")
+    """``position, column, type, non_null, min_value, max_value``: the schema and what it holds.
+
+    One aggregate over all columns; ranges are shown as text.
+    """
+    one = df.agg(*column_contents(df.columns))
+    return one.select(rows_from([
+        F.struct(F.lit(i + 1).alias("position"), F.lit(name).alias("column"),
+                 F.lit(kind).alias("type"), *content_fields(i))
+        for i, (name, kind) in enumerate(df.dtypes)]))
+
+
+def column_contents(columns: list[str]) -> list[Column]:
+    """Aggregates: present values, smallest and largest, of each column by position."""
+    return [a for i, c in enumerate(columns) for a in (
+        F.count(ref(c)).alias(f"n{i}"), F.min(ref(c)).cast("string").alias(f"lo{i}"),
+        F.max(ref(c)).cast("string").alias(f"hi{i}"))]
+
+
+def content_fields(i: int) -> list[Column]:
+    return [F.col(f"n{i}").alias("non_null"), F.col(f"lo{i}").alias("min_value"),
+            F.col(f"hi{i}").alias("max_value")]
 
 
 def _per_column(df: DataFrame, tests: dict[str, Column], count: str) -> DataFrame:

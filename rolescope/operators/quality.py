@@ -90,8 +90,10 @@ def parse_audit(raw: DataFrame, schema: StructType, timestamp_formats: tuple[str
     """``column, raw_values, parsed, lost``: text that is present but does not become its type.
 
     ``raw`` holds the same columns as ``schema``, all read as text. A permissive typed read turns
-    such values into NULL without a trace; here they are counted, all columns in one scan. A
-    timestamp counts as parsed when any of the formats reads it.
+    such values into NULL without a trace; here they are counted, all columns in one scan. Each
+    text goes through the CSV reader's own parser, so what counts as lost is what the reader
+    loses, padded numbers and words such as "yes" included. A timestamp counts as parsed when any
+    of the formats reads it.
     """
     present = {f.name: F.trim(ref(f.name)) != "" for f in schema}
     typed = {f.name: _parse(ref(f.name), f.dataType.simpleString(), timestamp_formats)
@@ -106,6 +108,12 @@ def parse_audit(raw: DataFrame, schema: StructType, timestamp_formats: tuple[str
 
 
 def _parse(text: Column, kind: str, timestamp_formats: tuple[str, ...]) -> Column:
-    if kind.startswith("timestamp"):
-        return F.coalesce(*[F.try_to_timestamp(text, F.lit(f)) for f in timestamp_formats])
-    return text if kind == "string" else text.try_cast(kind)
+    """The text as the CSV reader would type it, NULL where the reader gives NULL."""
+    if kind == "string":
+        return text
+    escaped = F.replace(F.replace(text, F.lit("\\"), F.lit("\\\\")), F.lit('"'), F.lit('\\"'))
+    field = F.concat(F.lit('"'), escaped, F.lit('"'))
+    formats = timestamp_formats if kind.startswith("timestamp") else timestamp_formats[:1]
+    return F.coalesce(*[F.from_csv(field, f"v {kind}", {
+        "mode": "PERMISSIVE", "timestampFormat": f, "timestampNTZFormat": f})["v"]
+        for f in formats])

@@ -23,7 +23,7 @@ from rolescope.operators.buckets import Buckets
 from rolescope.operators.counts import distribution
 from rolescope.operators.features import FeatureSpec
 from rolescope.operators.quality import Check
-from rolescope.operators.train import Trained, spread, train_and_evaluate
+from rolescope.operators.train import Trained, train_and_evaluate
 from rolescope.plans import sqlreports
 from rolescope.roles import Roles
 from rolescope.sources import models, reports, tables
@@ -41,14 +41,13 @@ def ingest(spark: SparkSession, csv: str, parquet: str, schema: StructType, *,
            expected_rows: int | None = None, partition_by: tuple[str, ...] = ()) -> bool:
     """Convert a CSV to verified Parquet, reusing a target that already matches.
 
-    The input's size is compared before and after. Without an expected row count the CSV is
-    counted first.
+    The input's size is compared before and after. Rows are counted while they are written.
     """
     before = tables.footprint(spark, csv)
     size = before.first()
     source = tables.read_csv(spark, csv, schema)
-    rows = source.count() if expected_rows is None else expected_rows
-    wrote = tables.convert(spark, source, parquet, expected_rows=rows, partition_by=partition_by)
+    wrote = tables.convert(spark, source, parquet, expected_rows=expected_rows,
+                           partition_by=partition_by)
     if tables.footprint(spark, csv).first() != size:
         raise RuntimeError(f"{csv} changed while it was being converted")
     return wrote
@@ -165,19 +164,30 @@ def analytics(df: DataFrame, roles: Roles, histogram: Buckets, focus_flags: tupl
               out: str) -> None:
     """Check the table (unique ids, listed classes), then write all distribution reports.
 
-    The checks read the overview and the calendar aggregate, which the reports need anyway.
+    The checks read the overview and the calendar aggregate, which the reports need anyway. The
+    input's content is compared before and after.
     """
+    before = profile.content_fingerprint(df).first()
     with analytics_reports(df, roles, histogram, focus_flags) as made:
         quality.require(made["quality"])
         write_all(made, out)
     write_all(sql_reports(df, roles), out)
+    if profile.content_fingerprint(df).first() != before:
+        raise RuntimeError("the table changed while it was being analysed")
 
 
 def training(df: DataFrame, spec: FeatureSpec, ids: tuple[str, ...], out: str,
-             models_by_name: dict[str, dict] | None = None) -> Trained:
-    """Fit and compare the classifiers; write their metrics and save every pipeline."""
-    trained = train_and_evaluate(df, spec, ids, models_by_name)
-    write_all({"model_comparison": trained.comparison(), "per_class_metrics": trained.per_class(),
+             models_by_name: dict[str, dict] | None = None,
+             partitions: int | None = None) -> Trained:
+    """Fit and compare the classifiers; write their metrics and save every pipeline.
+
+    The input's content is compared before and after.
+    """
+    before = profile.content_fingerprint(df).first()
+    trained = train_and_evaluate(df, spec, ids, models_by_name, partitions=partitions)
+    if profile.content_fingerprint(df).first() != before:
+        raise RuntimeError("the table changed while models were being trained")
+    write_all({"gates": trained.gate_report(),"model_comparison": trained.comparison(), "per_class_metrics": trained.per_class(),
                "confusion_matrix": trained.confusion}, out)
     for name, model in trained.models.items():
         models.save_model(model, model_path(out, name))
@@ -193,4 +203,4 @@ def scoring(df: DataFrame, model_dir: str, spec: FeatureSpec, ids: tuple[str, ..
             descriptions: dict[int, str] | None = None) -> None:
     """Score a table with a saved pipeline and write the result as Parquet."""
     model = models.load_model(model_dir)
-    tables.write_parquet(score.score(spread(df), model, spec, ids, descriptions), out)
+    tables.write_parquet(score.score(df, model, spec, ids, descriptions), out)

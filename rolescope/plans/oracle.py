@@ -10,8 +10,13 @@ from rolescope.plans.views import CLASSES
 
 ORDERS = ("SELECT *, CAST(substr(o_orderpriority, 1, 1) AS INTEGER) AS class FROM orders")
 ORDERS_GEO = (f"SELECT o.*, c_acctbal, c_mktsegment, n_name, r_name FROM ({ORDERS}) o "
-              "JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey "
-              "JOIN region ON n_regionkey = r_regionkey")
+              "LEFT JOIN customer ON o_custkey = c_custkey "
+              "LEFT JOIN nation ON c_nationkey = n_nationkey "
+              "LEFT JOIN region ON n_regionkey = r_regionkey")
+ODD = ("SELECT * REPLACE (CASE WHEN {key} % 7 = 0 THEN NULL WHEN {key} % 11 = 0 THEN 99 "
+       "ELSE class END AS class) FROM ({view})")
+ODD_ORDERS = ODD.format(key="o_orderkey", view=ORDERS)
+ODD_GEO = ODD.format(key="o_orderkey", view=ORDERS_GEO)
 LINES = ("SELECT *, nullif(l_discount, 0) AS discount, "
          "CASE WHEN l_linestatus = 'F' THEN l_tax END AS tax, "
          "CASE WHEN l_linestatus = 'F' THEN l_shipdate END AS shipped, "
@@ -19,7 +24,7 @@ LINES = ("SELECT *, nullif(l_discount, 0) AS discount, "
          "l_discount = 0 AS full_price, l_quantity > 40 AS bulk, l_quantity < 0 AS never "
          "FROM lineitem")
 LINES_ORDERS = (f"SELECT l.*, o_orderdate, class FROM ({LINES}) l "
-                f"JOIN ({ORDERS}) o ON l_orderkey = o_orderkey")
+                f"LEFT JOIN ({ORDERS}) o ON l_orderkey = o_orderkey")
 EVENTS = ("SELECT *, CASE event_type WHEN 'click' THEN 1 WHEN 'error' THEN 2 WHEN 'purchase' "
           "THEN 3 WHEN 'signup' THEN 4 WHEN 'view' THEN 5 END AS class, "
           "CASE WHEN event_type <> 'error' THEN ts END AS trusted_ts, "
@@ -56,6 +61,9 @@ def in_classes(column: str = "class") -> str:
     return f"{column} IN ({', '.join(map(str, CLASSES))})"
 
 
+OTHER = f"COUNT(*) FILTER (coalesce(NOT ({in_classes()}), TRUE))"
+
+
 def union(parts) -> str:
     return " UNION ALL ".join(parts)
 
@@ -86,12 +94,25 @@ SELECT CAST(SUM(cnt) AS BIGINT) AS total_rows, COUNT(*) AS distinct_keys,
 ORACLE["repeated_keys"] = f"SELECT * FROM ({COPIES}) WHERE cnt > 1"
 SPARK_TYPES = {"BIGINT": "bigint", "INTEGER": "int", "VARCHAR": "string", "DOUBLE": "double",
                "TIMESTAMP": "timestamp_ntz"}
-ORACLE["schema_report"] = """
-SELECT CAST(column_index AS INTEGER) AS position, column_name AS column,
-       CASE data_type """ + " ".join(
-    f"WHEN '{k}' THEN '{v}'" for k, v in SPARK_TYPES.items()) + """ END AS type
-FROM duckdb_columns() WHERE table_name = 'orders'
-UNION ALL SELECT 7, 'class', 'int'"""
+
+
+def contents(column: str) -> str:
+    """Present values and the range of a column, as text."""
+    return (f"COUNT({column}) AS non_null, CAST(MIN({column}) AS VARCHAR) AS min_value, "
+            f"CAST(MAX({column}) AS VARCHAR) AS max_value")
+
+
+TYPED = "CASE data_type " + " ".join(
+    f"WHEN '{k}' THEN '{v}'" for k, v in SPARK_TYPES.items()) + " END"
+ORDER_COLUMNS = ("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate",
+                 "o_orderpriority", "class")
+ORACLE["schema_report"] = f"""
+WITH t AS (SELECT CAST(column_index AS INTEGER) AS position, column_name AS column, {TYPED} AS type
+           FROM duckdb_columns() WHERE table_name = 'orders'
+           UNION ALL SELECT 7, 'class', 'int'),
+c AS (""" + union(f"SELECT '{c}' AS column, {contents(c)} FROM ({ORDERS})"
+                  for c in ORDER_COLUMNS) + """)
+SELECT position, t.column, type, non_null, min_value, max_value FROM t JOIN c USING (column)"""
 ORACLE["distinct_values"] = "SELECT event_type, COUNT(*) AS n FROM events GROUP BY event_type"
 ORACLE["distinct_summary"] = f"""
 SELECT COUNT(DISTINCT class) AS n_values, MIN(class) AS min_value, MAX(class) AS max_value
@@ -111,14 +132,14 @@ ORACLE["class_distribution"] = \
 ORACLE["class_by_geo_long"] = \
     f"SELECT n_name, class, COUNT(*) AS cnt FROM ({ORDERS_GEO}) GROUP BY n_name, class"
 CLASS_BY_GEO = f"""
-SELECT n_name, {class_counts()}, COUNT(*) FILTER ({in_classes()}) AS total
-FROM ({ORDERS_GEO}) GROUP BY n_name"""
+SELECT n_name, {class_counts()}, {OTHER} AS class_other, COUNT(*) AS total
+FROM ({ODD_GEO}) GROUP BY n_name"""
 ORACLE["class_by_geo"] = CLASS_BY_GEO
 ORACLE["class_by_geo_top"] = f"{CLASS_BY_GEO} ORDER BY total DESC, n_name LIMIT 15"
 ORACLE["topk_then_crosstab"] = f"""
-WITH o AS ({ORDERS_GEO}),
+WITH o AS ({ODD_GEO}),
      top AS (SELECT n_name FROM o GROUP BY n_name ORDER BY COUNT(*) DESC, n_name LIMIT 10)
-SELECT n_name, {class_counts()}, COUNT(*) FILTER ({in_classes()}) AS total
+SELECT n_name, {class_counts()}, {OTHER} AS class_other, COUNT(*) AS total
 FROM o WHERE n_name IN (SELECT n_name FROM top) GROUP BY n_name"""
 ORACLE["topk_members_long"] = f"""
 WITH e AS ({EVENTS}),
@@ -127,9 +148,10 @@ WITH e AS ({EVENTS}),
 SELECT action, class, COUNT(*) AS cnt FROM e WHERE action IN (SELECT action FROM top)
 GROUP BY action, class"""
 ORACLE["crosstab_row_pct"] = f"""
-WITH t AS (SELECT o_orderstatus, {class_counts()}, COUNT(*) FILTER ({in_classes()}) AS total
-           FROM ({ORDERS}) GROUP BY o_orderstatus)
-SELECT o_orderstatus, {', '.join(f"{pct(f'class_{c}', 'total')} AS pct_{c}" for c in CLASSES)}
+WITH t AS (SELECT o_orderstatus, {class_counts()}, {OTHER} AS class_other, COUNT(*) AS total
+           FROM ({ODD_ORDERS}) GROUP BY o_orderstatus)
+SELECT o_orderstatus, {', '.join(f"{pct(f'class_{c}', 'total')} AS pct_{c}"
+                                 for c in (*CLASSES, 'other'))}
 FROM t"""
 ORACLE["year_by_class"] = f"""
 SELECT CAST(year(o_orderdate) AS BIGINT) AS year, {class_counts()} FROM ({ORDERS}) GROUP BY 1"""
@@ -224,7 +246,7 @@ ORACLE["sql_year"] = """
 SELECT CAST(year(o_orderdate) AS BIGINT) AS year, COUNT(*) AS cnt FROM orders
 WHERE o_orderdate IS NOT NULL GROUP BY 1"""
 ORACLE["sql_class_by_geo"] = f"""
-SELECT n_name AS state, {class_counts()}, COUNT(*) AS total FROM ({ORDERS_GEO}) GROUP BY n_name"""
+SELECT n_name AS state, {class_counts()}, COUNT(*) AS total FROM ({ODD_GEO}) GROUP BY n_name"""
 ORACLE["sql_in_list_crosstab"] = f"""
 SELECT n_name AS state, class, COUNT(*) AS cnt FROM ({ORDERS_GEO})
 WHERE n_name IN ('NATION_0', 'NATION_1', 'NATION_2', 'NATION_3', 'NATION_4')
@@ -259,7 +281,8 @@ FROM ({ORDERS}) GROUP BY class"""
 EDGES = (0, 1, 5, 10, 50, 100, 250, 400, 1000)
 BUCKETS = [("0", "value = 0")] + [
     (f"{'0' if a == 0 else f'{a}.0'} - {b}.0", f"value > {a} AND value <= {b}")
-    for a, b in zip(EDGES, EDGES[1:])] + [("1000+", "value > 1000")]
+    for a, b in zip(EDGES, EDGES[1:])] + [
+    ("1000+", "value > 1000"), ("negative", "value < 0"), ("missing", "value IS NULL")]
 ORACLE["extent_buckets"] = union(
     f"SELECT CAST({i} AS BIGINT) AS ord, '{label}' AS bucket, COUNT(*) FILTER ({test}) AS cnt, "
     f"{pct(f'COUNT(*) FILTER ({test})', 'COUNT(*)')} AS pct FROM events"
@@ -367,7 +390,9 @@ SELECT COUNT(*) AS parsed_rows, COUNT(*) AS data_lines, CAST(0 AS BIGINT) AS dif
 FROM lineitem"""
 AUDITED = {"o_orderkey": "0", "o_totalprice": "0",
            "strict_time": "COUNT(*) FILTER (o_orderstatus = 'P')", "plain_time": "0",
-           "priority_number": "COUNT(*) FILTER (TRY_CAST(o_orderpriority AS INTEGER) IS NULL)"}
+           "priority_number": "COUNT(*) FILTER (TRY_CAST(o_orderpriority AS INTEGER) IS NULL)",
+           "padded_number": "COUNT(*) FILTER (o_orderkey % 2 = 0)",
+           "word_flag": "COUNT(*) FILTER (o_orderstatus IN ('F', 'O'))"}
 ORACLE["parse_audit"] = union(
     f"SELECT '{c}' AS column, COUNT(*) AS raw_values, COUNT(*) - {lost} AS parsed, "
     f"CAST({lost} AS BIGINT) AS lost FROM orders" for c, lost in AUDITED.items())
@@ -405,10 +430,15 @@ USED = {"numeric": ("l_quantity", "l_extendedprice", "discount", "tax", "p_retai
         "time_part": ("year", "month", "dow", "hour")}
 EXCLUDED = ("class", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "o_orderdate",
             "l_shipdate", "shipped", "l_discount", "l_tax", "never")
-ORACLE["role_audit"] = union(
-    f"SELECT '{c}' AS column, '{role}' AS role, 'used' AS status"
+PART_COLUMNS = "p_brand, p_type, p_retailprice"
+MODEL_ROWS = (f"SELECT l.*, {PART_COLUMNS} FROM ({LINES_ORDERS}) l "
+              "LEFT JOIN part ON l_partkey = p_partkey")
+ORACLE["role_audit"] = f"WITH m AS ({MODEL_ROWS}), a AS (" + union(
+    f"SELECT '{c}' AS column, '{role}' AS role, 'used' AS status, "
+    + ("CAST(NULL AS BIGINT)" if role == "time_part" else f"COUNT({c})") + " AS non_null FROM m"
     for role, columns in USED.items() for c in columns) + " UNION ALL " + union(
-    f"SELECT '{c}', 'forbidden', 'excluded'" for c in EXCLUDED)
+    f"SELECT '{c}', 'forbidden', 'excluded', COUNT({c}) FROM m" for c in EXCLUDED) + """)
+SELECT * FROM a"""
 SIDED = f"SELECT *, {SPLIT.format(id='o_orderkey')} AS split FROM ({ORDERS})"
 ORACLE["split_counts"] = \
     f"SELECT split, cnt, {pct('cnt', 'total')} AS pct FROM ({counts(SIDED, 'split')})"
@@ -433,6 +463,10 @@ ORACLE["category_index"] = """
 SELECT event_type AS category, COUNT(*) AS cnt,
        row_number() OVER (ORDER BY COUNT(*) DESC, event_type) - 1 AS index
 FROM events GROUP BY event_type"""
+ORACLE["category_index_wide"] = """
+SELECT CAST(l_partkey AS VARCHAR) AS category, COUNT(*) AS cnt,
+       row_number() OVER (ORDER BY COUNT(*) DESC, CAST(l_partkey AS VARCHAR)) - 1 AS index
+FROM lineitem GROUP BY l_partkey"""
 
 # ---- evaluation of rule models --------------------------------------------------------------
 
@@ -491,3 +525,26 @@ ORACLE["model_comparison"] = model_summary("by_price", "by_status")
 ORACLE["best_model"] = f"""
 SELECT model, macro_f1 AS score FROM ({ORACLE['model_comparison']})
 ORDER BY macro_f1 DESC, model LIMIT 1"""
+
+# ---- trained models: what must hold whatever was learned ------------------------------------
+
+MODEL_KEY = ("concat_ws('|', CAST(l_orderkey AS VARCHAR), CAST(l_linenumber AS VARCHAR), "
+             "CAST(l_partkey AS VARCHAR), CAST(l_suppkey AS VARCHAR))")
+for _query, _model in (("ml_logistic", "Logistic Regression"), ("ml_tree", "Decision Tree"),
+                       ("ml_forest", "Random Forest")):
+    ORACLE[_query] = f"""
+WITH s AS (SELECT class, {SPLIT.format(id=MODEL_KEY)} AS split FROM ({MODEL_ROWS}))
+SELECT '{_model}' AS model, COUNT(*) FILTER (split = 'train' AND {in_classes()}) AS train_rows,
+       COUNT(*) FILTER (split = 'test' AND {in_classes()}) AS test_rows,
+       COUNT(*) FILTER (coalesce(NOT ({in_classes()}), TRUE)) AS unlabelled,
+       {', '.join(f"COUNT(*) FILTER (split = 'test' AND class = {c}) AS support_{c}"
+                  for c in CLASSES)},
+       TRUE AS gates_passed, TRUE AS recall_is_accuracy, TRUE AS metrics_in_range,
+       TRUE AS has_preprocessing FROM s"""
+ORACLE["score_batch"] = """
+SELECT l_linenumber, COUNT(*) AS n, CAST(SUM(l_orderkey) AS BIGINT) AS key_sum,
+       TRUE AS sums_to_one, TRUE AS class_listed, TRUE AS most_likely, TRUE AS described
+FROM lineitem GROUP BY l_linenumber"""
+ORACLE["scored_sample"] = """
+SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, TRUE AS class_listed FROM lineitem
+ORDER BY l_orderkey, l_linenumber, l_partkey, l_suppkey LIMIT 10"""

@@ -1,6 +1,7 @@
 """Role views over the star-schema test tables.
 
-Each view selects only what its roles need; joins to the dimension tables are left to Spark, which
+Each view selects only what its roles need and keeps every fact row, also one without a dimension
+row; joins to the dimension tables are left to Spark, which
 broadcasts a side only when its size is below the configured threshold and otherwise merges
 sorted partitions, splitting skewed ones adaptively.
 
@@ -62,14 +63,20 @@ def orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "orders").withColumn("class", priority)
 
 
+def odd_labels(df: DataFrame, key: str) -> DataFrame:
+    """The same rows, some without a class and some with one that is not listed."""
+    odd = F.when(F.col(key) % 7 == 0, F.lit(None)).when(F.col(key) % 11 == 0, 99)
+    return df.withColumn("class", odd.otherwise(F.col("class")).cast("int"))
+
+
 def orders_geo(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Orders with the customer's nation, region and market segment."""
     customer, nation, region = (table(spark, sf_dir, t) for t in ("customer", "nation", "region"))
-    place = nation.join(region, F.col("n_regionkey") == F.col("r_regionkey")) \
+    place = nation.join(region, F.col("n_regionkey") == F.col("r_regionkey"), "left") \
                   .select("n_nationkey", "n_name", "r_name")
-    who = customer.join(place, F.col("c_nationkey") == F.col("n_nationkey")) \
+    who = customer.join(place, F.col("c_nationkey") == F.col("n_nationkey"), "left") \
                   .select("c_custkey", "c_acctbal", "c_mktsegment", "n_name", "r_name")
-    return (orders(spark, sf_dir).join(who, F.col("o_custkey") == F.col("c_custkey"))
+    return (orders(spark, sf_dir).join(who, F.col("o_custkey") == F.col("c_custkey"), "left")
             .drop("c_custkey"))
 
 
@@ -90,14 +97,14 @@ def lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 def lines_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Lines with the class and date of their order."""
     header = orders(spark, sf_dir).select("o_orderkey", "o_orderdate", "class")
-    return lines(spark, sf_dir).join(header, F.col("l_orderkey") == F.col("o_orderkey")) \
+    return lines(spark, sf_dir).join(header, F.col("l_orderkey") == F.col("o_orderkey"), "left") \
                                .drop("o_orderkey")
 
 
 def model_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Lines with order class and part attributes."""
     parts = table(spark, sf_dir, "part").select("p_partkey", "p_brand", "p_type", "p_retailprice")
-    return lines_orders(spark, sf_dir).join(parts, F.col("l_partkey") == F.col("p_partkey")) \
+    return lines_orders(spark, sf_dir).join(parts, F.col("l_partkey") == F.col("p_partkey"), "left") \
                                       .drop("p_partkey")
 
 
@@ -106,8 +113,8 @@ def wide_model_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     parts = table(spark, sf_dir, "part").withColumn("p_size", F.col("p_size").cast("string"))
     header = orders_geo(spark, sf_dir).drop("o_custkey", "o_totalprice", "c_acctbal")
     return (lines(spark, sf_dir)
-            .join(header, F.col("l_orderkey") == F.col("o_orderkey")).drop("o_orderkey")
-            .join(parts, F.col("l_partkey") == F.col("p_partkey")).drop("p_partkey"))
+            .join(header, F.col("l_orderkey") == F.col("o_orderkey"), "left").drop("o_orderkey")
+            .join(parts, F.col("l_partkey") == F.col("p_partkey"), "left").drop("p_partkey"))
 
 
 def events(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -10,9 +10,11 @@ from pyspark.sql.types import StructType
 def write_report(df: DataFrame, path: str) -> None:
     """One header CSV file in ``path``. Reports are aggregates, so one writer task suffices.
 
-    Sorting before ``coalesce`` keeps the report's order inside the file.
+    The rows are numbered in their order and shuffled to that task, so everything before it keeps
+    its own parallelism.
     """
-    df.coalesce(1).write.mode("overwrite").option("header", True).csv(path)
+    numbered = df.withColumn("__row", F.monotonically_increasing_id())
+    numbered.repartition(1).sortWithinPartitions("__row").drop("__row").write.mode("overwrite").option("header", True).csv(path)
 
 
 def read_report(spark: SparkSession, path: str, schema: StructType | str) -> DataFrame:

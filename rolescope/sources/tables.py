@@ -4,11 +4,11 @@ from __future__ import annotations
 
 from py4j.protocol import Py4JJavaError
 from pyspark.errors import PySparkException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
-from rolescope.functions.columns import n_rows
+from rolescope.functions.columns import n_rows, ref
 from rolescope.operators.profile import content_fingerprint
 from rolescope.operators.quality import (Check, expect_columns, expect_rows, expect_type,
                                          parse_audit, quality_report, require)
@@ -99,11 +99,11 @@ def footprint(spark: SparkSession, path: str) -> DataFrame:
 def line_reconciliation(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
     """``parsed_rows, data_lines, difference``.
 
-    Every non-empty file has one header line. A difference means embedded line breaks or blank
+    Every non-empty file directly below ``path`` has one header line. A difference means embedded line breaks or blank
     lines: the parsed count is then the authoritative one.
     """
     parsed = read_csv(spark, path, schema).agg(n_rows()).scalar()
-    headers = (spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path)
+    headers = (spark.read.format("binaryFile").load(path)
                .where("length > 0").agg(n_rows()).scalar())
     lines = spark.read.text(path).agg(n_rows().alias("lines"))
     return (lines.select((F.col("lines") - headers).alias("data_lines"),
@@ -112,31 +112,46 @@ def line_reconciliation(spark: SparkSession, path: str, schema: StructType) -> D
                     (F.col("parsed_rows") - F.col("data_lines")).alias("difference")))
 
 
-def convert(spark: SparkSession, source: DataFrame, path: str, *, expected_rows: int,
-            partition_by: tuple[str, ...] = ()) -> bool:
+def convert(spark: SparkSession, source: DataFrame, path: str, *,
+            expected_rows: int | None = None, partition_by: tuple[str, ...] = ()) -> bool:
     """Write ``source`` as Parquet unless ``path`` already holds it. True when it wrote.
 
-    One rule covers every state of the target: unless it is readable and has the expected rows
-    and columns, it is overwritten. The result is verified before returning: rows, columns and,
-    except for partition columns, whose types a reader infers from folder names, types.
+    A target that is missing or cannot be read as Parquet is written, and so is one whose columns,
+    row count or content fingerprint differ; any other error (a passing read failure, say) is
+    raised and leaves the target alone. Rows are counted while they are written. The result is
+    verified before returning: rows, columns and, except for partition columns, whose types a
+    reader infers from folder names, types.
     """
-    if _matches(spark, path, expected_rows, len(source.columns)):
+    if _holds(spark, path, source, expected_rows):
         return False
-    write_parquet(source, path, partition_by)
+    seen = Observation()
+    write_parquet(source.observe(seen, n_rows().alias("n")), path, partition_by)
+    rows = seen.get["n"] if expected_rows is None else expected_rows
     written = read_parquet(spark, path)
     require(quality_report(written, [
-        expect_rows(expected_rows), expect_columns(written, len(source.columns)),
+        expect_rows(rows), expect_columns(written, len(source.columns)),
         *[expect_type(written, f.name, f.dataType.simpleString()) for f in source.schema
           if f.name not in partition_by]]))
     return True
 
 
-def _matches(spark: SparkSession, path: str, rows: int, columns: int) -> bool:
+# Conditions of a target that is not there or is not Parquet.
+_NO_TABLE = ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA", "CANNOT_READ_FILE_FOOTER",
+             "is not a Parquet file")
+
+
+def _holds(spark: SparkSession, path: str, source: DataFrame, rows: int | None) -> bool:
     try:
         there = read_parquet(spark, path)
-        return len(there.columns) == columns and there.count() == rows
-    except (PySparkException, Py4JJavaError):  # missing or unreadable
+    except (PySparkException, Py4JJavaError) as error:
+        if any(c in str(error) for c in _NO_TABLE):
+            return False
+        raise
+    if sorted(there.columns) != sorted(source.columns):
         return False
+    found = content_fingerprint(there.select(*[
+        ref(f.name).cast(f.dataType).alias(f.name) for f in source.schema])).first()
+    return (rows is None or found["n"] == rows) and found == content_fingerprint(source).first()
 
 
 def verify_copy(original: DataFrame, copy: DataFrame, *, content: bool = False) -> DataFrame:

@@ -110,16 +110,46 @@ def test_leaks_are_refused(table):
     assert status["y"] == "unassigned"
 
 
-def test_wide_categories_are_refused(table):
-    with pytest.raises(ValueError, match="place"):
-        features.check_category_width(table, ("place",), limit=2)
-    with pytest.raises(Exception, match="more than 2 categories"):
-        features.category_index(table, "place", limit=2).collect()
+def test_category_index_has_no_limit(spark):
+    df = spark.range(30_000).select(F.concat(F.lit("k"), F.col("id") % 20_000).alias("key"))
+    got = features.category_index(df, "key").collect()
+    want = sorted(((-(2 if i < 10_000 else 1), f"k{i}") for i in range(20_000)))
+    assert [(r["category"], r["cnt"], r["index"]) for r in got] == [
+        (k, -c, i) for i, (c, k) in enumerate(want)]
+
+
+def test_wide_columns_can_be_hashed(table):
+    spec = FeatureSpec(SPEC.roles.but(categorical=()), hashed=("place",))
+    fitted = train.train_only(table, spec, ("id",), {"Decision Tree": {"maxDepth": 3}})
+    got = score.score(table, fitted["Decision Tree"], spec, ("id",))
+    assert got.where("predicted_class IS NULL").count() == 0
+
+
+def test_rows_without_a_listed_label_are_left_out(table):
+    odd = table.withColumn("cls", F.when(F.col("id") % 10 == 0, F.lit(None)).when(
+        F.col("id") % 10 == 1, 77).otherwise(F.col("cls")).cast("int"))
+    result = train.train_and_evaluate(odd, SPEC, ("id",), {"Decision Tree": {"maxDepth": 2}})
+    assert result.unlabelled == 400 and result.train_rows + result.test_rows == 1600
+    report = result.gate_report().collect()
+    assert {r["check"] for r in report} == {
+        "train_plus_test", "models_present", "predictions_cover_test:Decision Tree"}
+    assert all(r["passed"] for r in report)
+    result.release()
+
+
+def test_forest_does_not_depend_on_how_rows_arrive(table):
+    seen = []
+    for df in (table, table.repartition(7), table.coalesce(1)):
+        result = train.train_and_evaluate(
+            df, SPEC, ("id",), {"Random Forest": {"numTrees": 4}}, partitions=3)
+        seen.append(result.comparison().drop("training_time_s").first())
+        result.release()
+    assert seen[0] == seen[1] == seen[2]
 
 
 def test_category_index_matches_the_estimator(table):
     known = table.where(F.col("place").isNotNull())
-    fitted = features.preprocessing(FeatureSpec(SPEC.roles.but(numeric=()))).fit(
+    fitted = features.preprocessing(FeatureSpec(SPEC.roles.but(numeric=())), {}).fit(
         features.feature_frame(known, FeatureSpec(SPEC.roles.but(numeric=()))))
     labels = fitted.stages[0].labelsArray[0]
     ours = [r["category"] for r in features.category_index(known, "place").collect()]

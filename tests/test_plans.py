@@ -6,9 +6,9 @@ import re
 
 import pytest
 
-from __spark_entry__ import queries
 from rolescope.operators import quantiles, ranking
 from rolescope.plans import views
+from rolescope.plans.catalog import QUERIES
 
 FITTED = {"ml_logistic", "ml_tree", "ml_forest", "score_batch", "scored_sample"}
 EXACT_MEDIANS = {"numeric_summary", "extent_summary", "extent_by_class", "impute_median"}
@@ -35,7 +35,7 @@ def executed(df) -> str:
 
 @pytest.fixture(scope="module")
 def plans(spark, sf_dir):
-    return {n: planned(q(spark, sf_dir)) for n, q in queries().items() if n not in FITTED}
+    return {n: planned(q(spark, sf_dir)) for n, q in QUERIES.items() if n not in FITTED}
 
 
 def test_no_cross_products_and_no_python(plans):
@@ -81,9 +81,8 @@ def test_top_k_does_not_sort_everything(plans):
 def test_shares_reuse_the_group_shuffle(spark, sf_dir):
     """The total is a subquery over the same exchange, also when NULL groups are dropped."""
     for name in ("class_distribution", "topk_state", "topk_condition", "by_hour_nulls",
-                 "by_hour_known", "group_coverage", "cumulative_share", "sql_class_share",
-                 "category_index"):
-        assert "ReusedExchange" in executed(queries()[name](spark, sf_dir)), name
+                 "by_hour_known", "group_coverage", "cumulative_share", "sql_class_share"):
+        assert "ReusedExchange" in executed(QUERIES[name](spark, sf_dir)), name
 
 
 def test_broadcast_side_is_limited(spark, sf_dir):

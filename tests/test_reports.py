@@ -115,10 +115,22 @@ def test_top_values_descend_and_skip_null(incidents):
 
 def test_crosstab_is_zero_filled_and_totalled(incidents):
     table = crosstab.crosstab(incidents, "state", "cls", CLASSES)
-    assert rows(table) == [("CA", 0, 2, 0, 0, 2), ("FL", 0, 1, 1, 0, 2), ("NY", 0, 0, 0, 1, 1),
-                           (None, 1, 0, 0, 0, 1), ("TX", 0, 0, 0, 0, 0)]
-    assert rows(crosstab.row_percent(table, "state", CLASSES))[1] == ("FL", 0.0, 50.0, 50.0, 0.0)
-    assert rows(crosstab.row_percent(table, "state", CLASSES))[4] == ("TX", 0.0, 0.0, 0.0, 0.0)
+    got = {r["state"]: tuple(r)[1:] for r in table.collect()}
+    assert got == {"CA": (0, 2, 0, 0, 0, 2), "FL": (0, 1, 1, 0, 0, 2), "NY": (0, 0, 0, 1, 0, 1),
+                   None: (1, 0, 0, 0, 0, 1), "TX": (0, 0, 0, 0, 1, 1)}
+    share = {r["state"]: tuple(r)[1:] for r in
+             crosstab.row_percent(table, "state", CLASSES).collect()}
+    assert share["FL"] == (0.0, 50.0, 50.0, 0.0, 0.0)
+    assert share["TX"] == (0.0, 0.0, 0.0, 0.0, 100.0)
+
+
+def test_crosstab_totals_count_rows_off_the_list(spark):
+    df = spark.createDataFrame([("a", 1), ("a", None), ("a", 9), ("b", 2)], "k string, c int")
+    assert rows(crosstab.crosstab(df, "k", "c", (1, 2))) == [("a", 1, 0, 2, 3), ("b", 0, 1, 0, 1)]
+    counted = df.groupBy("k", "c").agg(F.count(F.lit(1)).alias("n"))
+    assert rows(crosstab.crosstab(counted, "k", "c", (1, 2), weight="n")) == [
+        ("a", 1, 0, 2, 3), ("b", 0, 1, 0, 1)]
+    assert rows(crosstab.top_crosstab(df, "k", "c", (1, 2), 1)) == [("a", 1, 0, 2, 3)]
 
 
 def test_top_crosstab_equals_semi_join_form(incidents):
@@ -164,8 +176,9 @@ def test_summary_by_class(incidents):
 def test_buckets_are_half_open_and_zero_filled(incidents):
     got = rows(buckets.bucket_counts(incidents, "Distance(mi)", buckets.DISTANCE_MILES))
     assert [r[1] for r in got] == ["0", "0 - 0.1", "0.1 - 0.5", "0.5 - 1.0", "1.0 - 5.0",
-                                   "5.0 - 10.0", "10.0 - 25.0", "25+"]
-    assert [r[2] for r in got] == [1, 1, 1, 0, 0, 0, 1, 1]
+                                   "5.0 - 10.0", "10.0 - 25.0", "25+", "negative", "missing"]
+    assert [r[2] for r in got] == [1, 1, 1, 0, 0, 0, 1, 1, 1, 1]
+    assert abs(sum(r[3] for r in got) - 100) < 0.1
     labels = incidents.select("id", buckets.DISTANCE_MILES.label_of(ref("Distance(mi)")))
     assert dict(rows(labels))[6] == dict(rows(labels))[7] == "Unknown"
 
@@ -282,3 +295,10 @@ def test_exact_quantile_on_skewed_values(spark):
     got = quantiles.exact_quantile(df, {"a": F.col("v"), "b": -F.col("v")}, rounds=2).first()
     assert got["a"] == values[14_999]
     assert got["b"] == sorted(-v for v in values)[14_999]
+
+
+def test_exact_quantile_keeps_wide_integers(spark):
+    base = 2 ** 60
+    df = spark.range(1001).select((F.lit(base) + F.col("id")).alias("v"))
+    got = quantiles.exact_quantile(df, {"q": F.col("v")}).first()["q"]
+    assert got == base + 500

@@ -57,6 +57,20 @@ def test_audit_of_the_default_pattern(spark, csv):
         assert present - typed.where(F.col(f"`{name}`").isNotNull()).count() == audit[name]
 
 
+def test_audit_counts_what_the_reader_loses(spark, tmp_path):
+    """Padded numbers, words for booleans, quotes and backslashes."""
+    path = tmp_path / "odd.csv"
+    path.write_text('n,b,d\n 12,yes,1.5\n7,1,"1,5"\n8,TRUE,\\\\\n,false,NaN\n9,,"a""b"\n')
+    schema = schema_of({"n": "int", "b": "boolean", "d": "double"})
+    typed = tables.read_csv(spark, str(path), schema, blank_as_null=False)
+    raw = tables.read_csv(spark, str(path), tables.as_text(schema), blank_as_null=False)
+    audit = {r["column"]: r["lost"] for r in tables.audit_csv(spark, str(path), schema).collect()}
+    for c in ("n", "b", "d"):
+        present = raw.where(F.trim(c) != "").count()
+        assert audit[c] == present - typed.where(F.col(c).isNotNull()).count(), c
+    assert audit["n"] == 1 and audit["b"] == 2
+
+
 def test_corrupt_rows_are_kept(spark, csv):
     df = tables.read_csv(spark, csv, SCHEMA, keep_corrupt=True).cache()
     bad = {r["id"] for r in df.where(F.col(tables.CORRUPT).isNotNull()).collect()}
@@ -112,6 +126,9 @@ def test_convert_reuses_only_a_matching_target(spark, csv, tmp_path):
     assert tables.convert(spark, source, out, expected_rows=5) is False
     tables.write_parquet(source.limit(2), out)
     assert tables.convert(spark, source, out, expected_rows=5) is True
+    changed = source.withColumn("cls", F.lit(1))
+    assert tables.convert(spark, changed, out) is True
+    assert tables.convert(spark, changed, out) is False
     with pytest.raises(AssertionError, match="row_count"):
         tables.convert(spark, source, str(tmp_path / "other"), expected_rows=6)
 
