@@ -71,9 +71,13 @@ def extreme_rows(df: DataFrame, rules: list[Rule]) -> DataFrame:
     return df.where(any_of([r.test() for r in rules]))
 
 
-def extreme_counts(df: DataFrame, rules: list[Rule]) -> DataFrame:
-    """``rule, cnt``: rows past each threshold."""
-    one = extreme_rows(df, rules).agg(*[n_where(r.test()).alias(f"n{i}")
+def extreme_counts(df: DataFrame, rules: list[Rule], *, prefilter: bool = True) -> DataFrame:
+    """``rule, cnt``: rows past each threshold.
+
+    ``prefilter`` lets the scan skip what no rule matches; without it the counters can share a
+    pass over the whole table with other reports.
+    """
+    one = (extreme_rows(df, rules) if prefilter else df).agg(*[n_where(r.test()).alias(f"n{i}")
                                         for i, r in enumerate(rules)])
     return one.select(rows_from([F.struct(F.lit(str(r)).alias("rule"), F.col(f"n{i}").alias("cnt"))
                                  for i, r in enumerate(rules)]))

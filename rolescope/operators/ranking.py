@@ -35,9 +35,9 @@ def rows_in_top(df: DataFrame, key: str, k: int) -> DataFrame:
     return df.join(F.broadcast(top_keys(df, key, k)), key, "left_semi")
 
 
-def coverage(df: DataFrame, key: str, k: int = 10) -> DataFrame:
+def coverage(df: DataFrame, key: str, k: int = 10, weight: str | None = None) -> DataFrame:
     """``rank, key, cnt, pct, n_groups``: the ranked top-k and how many groups there are."""
-    counts = group_counts(df, [key]).drop("keyed")
+    counts = group_counts(df, [key], weight).drop("keyed")
     total = totals(counts)
     top = (counts.select(ref(key), "cnt",
                          pct(F.col("cnt"), total.getField("all")).alias("pct"),

@@ -1,8 +1,8 @@
 """The batch jobs: ingest, profile, anomalies, analytics, training, scoring.
 
 Each job is given a table and its description and writes small report tables. Reports that share
-grouping columns are rolled up from one persisted aggregate, so a job scans its table a few times
-whatever the number of reports.
+grouping columns are rolled up from one persisted aggregate, and global counters are folded into
+one (``one_pass``): profile and anomalies scan their table three times each.
 """
 
 from __future__ import annotations
@@ -22,6 +22,7 @@ from rolescope.operators.anomalies import Rule
 from rolescope.operators.buckets import Buckets
 from rolescope.operators.counts import distribution
 from rolescope.operators.features import FeatureSpec
+from rolescope.operators.onepass import one_pass
 from rolescope.operators.quality import Check
 from rolescope.operators.train import Trained, train_and_evaluate
 from rolescope.plans import sqlreports
@@ -63,30 +64,36 @@ def ingest_reports(spark: SparkSession, csv: str, schema: StructType) -> Reports
 
 def profile_reports(df: DataFrame, roles: Roles, profiled: tuple[str, ...],
                     text: tuple[str, ...], ranged: tuple[str, ...]) -> Reports:
-    nulls = profile.null_profile(df, profiled)
-    return {
-        "row_count": profile.row_count(df),
-        "class_distribution": distribution(df, roles.label),
-        "class_values": profile.distinct_summary(df, roles.label),
-        "null_profile": nulls,
-        "null_profile_summary": profile.null_profile_summary(nulls),
-        "blank_profile": profile.blank_profile(df, text),
-        "time_range": profile.time_range(df, roles),
-        "order_violations": profile.order_violations(df, roles),
-        "coverage": ranking.coverage(df, roles.state),
-        "numeric_ranges": summary.numeric_ranges(df, ranged),
+    """Twelve reports from three scans: all global counters, groups, and keys."""
+    made = one_pass(df, {
+        "row_count": profile.row_count,
+        "null_profile": lambda t: profile.null_profile(t, profiled),
+        "blank_profile": lambda t: profile.blank_profile(t, text),
+        "time_range": lambda t: profile.time_range(t, roles),
+        "order_violations": lambda t: profile.order_violations(t, roles),
+        "numeric_ranges": lambda t: summary.numeric_ranges(t, ranged),
+        "constant_columns": lambda t: profile.constant_columns(t, roles.flags),
+    })
+    groups = df.groupBy(ref(roles.label), ref(roles.state)).agg(n_rows().alias("cnt")).persist(
+        StorageLevel.MEMORY_AND_DISK)
+    return made | {
+        "null_profile_summary": profile.null_profile_summary(made["null_profile"]),
+        "class_distribution": distribution(groups, roles.label, weight="cnt"),
+        "class_values": profile.distinct_summary(groups, roles.label),
+        "coverage": ranking.coverage(groups, roles.state, weight="cnt"),
         "duplicate_keys": profile.duplicate_keys(df, roles.id),
-        "constant_columns": profile.constant_columns(df, roles.flags),
     }
 
 
 def anomaly_reports(df: DataFrame, ladder: list[Rule], pairs: dict[str, tuple[str, str]],
                     extremes: list[Rule], context: tuple[str, ...]) -> Reports:
-    return {
-        "threshold_ladder": anomalies.threshold_ladder(df, ladder),
+    """Five reports from three scans: all counters, the highest values, the extremes' context."""
+    return one_pass(df, {
+        "threshold_ladder": lambda t: anomalies.threshold_ladder(t, ladder),
+        "paired_missingness": lambda t: anomalies.paired_missingness(t, pairs),
+        "extreme_counts": lambda t: anomalies.extreme_counts(t, extremes, prefilter=False),
+    }) | {
         "top_values": ranking.top_values(df, ladder[0].column),
-        "paired_missingness": anomalies.paired_missingness(df, pairs),
-        "extreme_counts": anomalies.extreme_counts(df, extremes),
         "extreme_context": anomalies.extreme_context(df, extremes, context),
     }
 
@@ -136,13 +143,14 @@ def analytics_reports(df: DataFrame, roles: Roles, histogram: Buckets,
         "condition_by_class": condition_classes,
         "condition_class_percent": crosstab.row_percent(condition_classes, roles.condition,
                                                         classes),
-        "numeric_summary": summary.numeric_summary(df, roles.numeric),
-        "flag_prevalence": summary.flag_prevalence(df, roles.flags),
         "flag_by_class": crosstab.class_within_flags(df, focus_flags, label),
-        "extent_summary": summary.numeric_summary(df, (roles.extent,), digits=4),
-        "extent_buckets": buckets.bucket_counts(df, roles.extent, histogram),
         "extent_by_class": summary.summary_by_class(df, roles.extent, label, classes),
-    }
+    } | one_pass(df, {
+        "numeric_summary": lambda t: summary.numeric_summary(t, roles.numeric),
+        "flag_prevalence": lambda t: summary.flag_prevalence(t, roles.flags),
+        "extent_summary": lambda t: summary.numeric_summary(t, (roles.extent,), digits=4),
+        "extent_buckets": lambda t: buckets.bucket_counts(t, roles.extent, histogram),
+    })
     try:
         yield made
     finally:

@@ -112,7 +112,7 @@ WITH t AS (SELECT CAST(column_index AS INTEGER) AS position, column_name AS colu
            UNION ALL SELECT 7, 'class', 'int'),
 c AS (""" + union(f"SELECT '{c}' AS column, {contents(c)} FROM ({ORDERS})"
                   for c in ORDER_COLUMNS) + """)
-SELECT position, t.column, type, non_null, min_value, max_value FROM t JOIN c USING (column)"""
+SELECT position, t.column, type, non_null, min_value, max_value FROM t JOIN c ON t.column = c.column"""
 ORACLE["distinct_values"] = "SELECT event_type, COUNT(*) AS n FROM events GROUP BY event_type"
 ORACLE["distinct_summary"] = f"""
 SELECT COUNT(DISTINCT class) AS n_values, MIN(class) AS min_value, MAX(class) AS max_value
@@ -435,7 +435,8 @@ MODEL_ROWS = (f"SELECT l.*, {PART_COLUMNS} FROM ({LINES_ORDERS}) l "
               "LEFT JOIN part ON l_partkey = p_partkey")
 ORACLE["role_audit"] = f"WITH m AS ({MODEL_ROWS}), a AS (" + union(
     f"SELECT '{c}' AS column, '{role}' AS role, 'used' AS status, "
-    + ("CAST(NULL AS BIGINT)" if role == "time_part" else f"COUNT({c})") + " AS non_null FROM m"
+    + ("CAST(NULL AS BIGINT) AS non_null" if role == "time_part"
+       else f"COUNT({c}) AS non_null FROM m")
     for role, columns in USED.items() for c in columns) + " UNION ALL " + union(
     f"SELECT '{c}', 'forbidden', 'excluded', COUNT({c}) FROM m" for c in EXCLUDED) + """)
 SELECT * FROM a"""

@@ -11,6 +11,7 @@ from conftest import rows
 from pyspark.sql import functions as F
 
 from rolescope.__main__ import main
+from rolescope.operators import anomalies, profile, ranking
 from rolescope.operators.features import guard_leakage, role_audit
 from rolescope.plans import jobs
 from rolescope.presets import incidents as p
@@ -115,6 +116,36 @@ def test_profile_and_anomalies(spark, parquet, workdir):
     assert [r["column"] for r in constant.collect() if r["is_constant"]] == ["Turning_Loop"]
 
 
+def test_jobs_scan_their_table_three_times(spark, parquet, monkeypatch):
+    """Scans that start: one in the shared pass, one for each other source of reports."""
+    df = tables.read_parquet(spark, parquet)
+    passes = []
+    real = type(df).first
+    monkeypatch.setattr(type(df), "first", lambda self: passes.append(self) or real(self))
+    made = jobs.profile_reports(df, p.REPORT, p.PROFILED, p.TEXT, p.RANGED)
+    assert len(passes) == 1
+    files = {name: t._jdf.queryExecution().executedPlan().toString().count("FileScan")
+             for name, t in made.items()}
+    assert [n for n, c in files.items() if c and "InMemoryTableScan" not in
+            made[n]._jdf.queryExecution().executedPlan().toString()] == ["duplicate_keys"]
+    made = jobs.anomaly_reports(df, p.LADDER, p.PAIRS, p.EXTREMES, p.CONTEXT)
+    assert len(passes) == 2
+    assert [n for n, t in made.items() if "FileScan" in
+            t._jdf.queryExecution().executedPlan().toString()] == ["top_values", "extreme_context"]
+
+
+def test_one_pass_equals_separate_reports(spark, parquet):
+    df = tables.read_parquet(spark, parquet)
+    made = jobs.profile_reports(df, p.REPORT, p.PROFILED, p.TEXT, p.RANGED)
+    assert rows(made["null_profile"]) == rows(profile.null_profile(df, p.PROFILED))
+    assert rows(made["blank_profile"]) == rows(profile.blank_profile(df, p.TEXT))
+    assert rows(made["time_range"]) == rows(profile.time_range(df, p.REPORT))
+    assert rows(made["coverage"]) == rows(ranking.coverage(df, p.REPORT.state))
+    made = jobs.anomaly_reports(df, p.LADDER, p.PAIRS, p.EXTREMES, p.CONTEXT)
+    assert rows(made["threshold_ladder"]) == rows(anomalies.threshold_ladder(df, p.LADDER))
+    assert rows(made["extreme_counts"]) == rows(anomalies.extreme_counts(df, p.EXTREMES))
+
+
 def test_train_then_score(spark, parquet, workdir):
     df = tables.read_parquet(spark, parquet)
     out = str(workdir / "models")

@@ -56,5 +56,5 @@ def test_entry_has_rows(spark):
 @pytest.mark.parametrize("frame,sql", [
     ("class_distribution", "sql_class_share"), ("class_by_geo", "sql_class_by_geo")])
 def test_dataframe_and_sql_reports_agree(spark, sf_dir, frame, sql):
-    a, b = (queries()[n](spark, sf_dir) for n in (frame, sql))
+    a, b = (queries()[n](spark, sf_dir).drop("class_other") for n in (frame, sql))
     assert sorted(map(tuple, a.collect())) == sorted(map(tuple, b.collect()))
