@@ -13,6 +13,8 @@ from rolescope.session import scratch_path
 
 # Bytes of text hashed at a time: intermediate arrays stay in the processor's cache.
 SLICE_BYTES = 1 << 19
+# Edges that a task of the connected-components loop takes at least.
+EDGES_PER_TASK = 100_000
 # ASCII white space, as in the word pattern [^\x20\x09-\x0D]+
 SPACES = bytes([32, 9, 10, 11, 12, 13])
 
@@ -161,7 +163,8 @@ def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
 
     Alternating large-star and small-star steps: every step is one minimum per node (combined
     before the shuffle) and one join, the number of edges never grows, and a chain of any length
-    is halved by each round. Nodes without an edge are not returned. Each round is checkpointed.
+    is halved by each round. Nodes without an edge are not returned. Each round is checkpointed and
+    merged into as many partitions as its edges need.
     """
     state = checkpoint(edges.select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v"))
                        .where("u <> v").distinct())
@@ -173,20 +176,25 @@ def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     def mark(df: DataFrame):
         return df.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
 
+    def two_each(df: DataFrame, *ends: tuple[str, str]) -> DataFrame:
+        return df.select(F.inline(F.array(*[
+            F.struct(F.col(x).alias("u"), F.col(y).alias("v")) for x, y in ends])))
+
+    def merged(df: DataFrame, edges: int) -> DataFrame:
+        return df.coalesce(edges // EDGES_PER_TASK + 1)
+
     seen = mark(state)
     while seen[0]:
-        both = state.unionByName(state.select(F.col("v").alias("u"), F.col("u").alias("v")))
+        state = merged(state, seen[0])
+        both = two_each(state, ("u", "v"), ("v", "u"))
         large = star(both).where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        large = large.distinct()
         small = star(large)
-        new = (small.select(F.col("v").alias("u"), F.col("m").alias("v"))
-               .unionByName(small.select("u", F.col("m").alias("v")))
-               .where("u <> v").distinct())
-        state = checkpoint(new)
+        state = checkpoint(two_each(small, ("v", "m"), ("u", "m")).where("u <> v").distinct())
         now = mark(state)
         if now == seen:
             break
         seen = now
+    state = merged(state, seen[0])
     roots = state.select(F.col("v").alias("node"), F.col("v").alias("root")).distinct()
     return state.select(F.col("u").alias("node"), F.col("v").alias("root")).unionByName(roots)
 

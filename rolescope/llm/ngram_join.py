@@ -122,10 +122,12 @@ def _shared(reps: DataFrame, plan: ForestPlan, depth: int) -> DataFrame:
 def _blocks(shared: DataFrame, plan: ForestPlan) -> DataFrame:
     """``key, block``: sets in order of the tries they share, cut into runs of bounded length.
 
-    Sorting by the smallest set met in any shared node brings near copies together, so that most
-    pairs fall into one block. A large group is spread over many blocks.
+    Sorting by the smallest set met within two shared nodes brings near copies together, so that
+    most pairs fall into one block. A large group is spread over many blocks.
     """
-    label = shared.groupBy("key").agg(F.min("low").alias("label"))
+    first = shared.groupBy("key").agg(F.min("low").alias("label"))
+    wider = shared.join(first, "key").groupBy("node").agg(F.min("label").alias("label"))
+    label = shared.join(wider, "node").groupBy("key").agg(F.min("label").alias("label"))
 
     def number(batches):
         from pyspark import TaskContext
@@ -224,15 +226,21 @@ _OUT = "kind int, a bigint, b bigint, n bigint, found double, expected double"
 def _round(reps: DataFrame, shared: DataFrame, plan: ForestPlan, depth: int) -> DataFrame:
     """All verified links whose longest common prefix in any tree is ``depth``."""
     blocks = _blocks(shared, plan)
-    placed = reps.join(blocks, "key")
-    at = shared.join(blocks, "key").select("node", "block").distinct()
-    other = at.select("node", F.col("block").alias("j"))
-    across = at.withColumnRenamed("block", "i").join(other, "node").where("i < j") \
+    at = shared.join(blocks, "key").select("node", "key", "block")
+    wide = at.groupBy("node").agg(F.min("block").alias("b0"), F.max("block").alias("b1")) \
+        .where("b0 < b1").select("node")
+    at = at.join(wide, "node")
+    held = at.select("node", "block").distinct()
+    across = held.select("node", F.col("block").alias("i")).join(
+        held.select("node", F.col("block").alias("j")), "node").where("i < j") \
         .select("i", "j").distinct()
-    within = blocks.select(F.col("block").alias("i"), F.col("block").alias("j")).distinct()
-    todo = across.unionByName(within)
-    sides = todo.select("i", "j", F.explode(F.array_distinct(F.array("i", "j"))).alias("block"))
-    dealt = sides.join(placed, "block")
+    # a set in a node of several blocks goes to all pairs of its block, any set to its own block
+    sides = across.select("i", "j", F.explode(F.array("i", "j")).alias("block"))
+    todo = (sides.join(at.select("key", "block").distinct(), "block")
+            .select("i", "j", "key", "block")
+            .unionByName(blocks.select(F.col("block").alias("i"), F.col("block").alias("j"),
+                                       "key", "block")))
+    dealt = todo.join(reps, "key")
     return dealt.groupBy("i", "j").applyInPandas(lambda g: _verify(g, plan, depth), _OUT)
 
 
