@@ -25,13 +25,13 @@ PREFIXES = (4, 5, 6, 7, 8)
 class MilPlan:
     """``max_docs`` bounds the labelled documents learned from (least hash of the id)."""
 
-    max_docs: int = 12_000
+    max_docs: int = 40_000
     min_docs: int = 4
-    least_z: float = 5.0
-    rounds: int = 5
-    epochs: int = 4
-    rate: float = 0.3
-    l2: float = 1e-4
+    least_z: float = 7.0
+    rounds: int = 6
+    epochs: int = 10
+    rate: float = 0.1
+    l2: float = 1e-6
     threshold: float = 0.7
 
 
@@ -72,7 +72,7 @@ def _sigmoid(z: np.ndarray) -> np.ndarray:
 def _learn(docs: list, start: np.ndarray, plan: MilPlan, seed: int) -> np.ndarray:
     """A task's passes of AdaGrad over its documents, from the shared weights (last is the bias)."""
     w = start.astype(np.float64)
-    square = np.full(len(w), 1e-3)
+    square = np.full(len(w), 1e-6)
     rng = np.random.default_rng(seed)
     batch = 32
     for _ in range(plan.epochs):
@@ -109,8 +109,8 @@ class MilModel:
         self.maybe = np.zeros(1 << 16, dtype=bool)  # by low bits: most words need no search
         self.maybe[(features & _U(0xFFFF)).astype(np.int64)] = True
 
-    def find(self, data: np.ndarray, starts: np.ndarray, ends: np.ndarray):
-        """Known features of the words: their indices and the words they belong to."""
+    def find(self, data: np.ndarray, starts: np.ndarray, ends: np.ndarray, sentence: np.ndarray):
+        """Known features and the sentences that hold them, by sentence; repeats count once."""
         found, where = [np.zeros(0, dtype=np.int64)], [np.zeros(0, dtype=np.int64)]
         if len(self.features):
             for hashes, words in _features(data, starts, ends):
@@ -120,7 +120,9 @@ class MilModel:
                 hit = self.features[at] == hashes[some]
                 found.append(at[hit])
                 where.append(words[some[hit]])
-        return np.concatenate(found), np.concatenate(where)
+        size = max(len(self.features), 1)
+        pairs = np.unique(sentence[np.concatenate(where)] * size + np.concatenate(found))
+        return pairs % size, pairs // size
 
 
 def train(docs: DataFrame, labels: DataFrame, plan: MilPlan = MilPlan(), id_col: str = "doc_id",
@@ -186,11 +188,8 @@ def train(docs: DataFrame, labels: DataFrame, plan: MilPlan = MilPlan(), id_col:
             label = batch.column(0).to_numpy(zero_copy_only=False)
             for first, last, data, bounds in text_slices(batch.column(1)):
                 starts, ends, sentence, doc = _sentences(data, bounds)
-                found, words = model.find(data, starts, ends)
+                found, own = model.find(data, starts, ends, sentence)
                 at = np.searchsorted(doc, np.arange(last - first + 1))
-                own = sentence[words]
-                order = np.argsort(own, kind="stable")
-                own, found = own[order], found[order]
                 cuts = np.searchsorted(own, at)
                 rows = [(int(label[first + i]), found[a:b].astype(np.int32).tobytes(),
                          (own[a:b] - at[i]).astype(np.int32).tobytes(), int(at[i + 1] - at[i]))
@@ -239,8 +238,8 @@ def score(docs: DataFrame, model: MilModel, plan: MilPlan = MilPlan(), id_col: s
             for first, last, data, bounds in text_slices(batch.column(1)):
                 starts, ends, sentence, doc = _sentences(data, bounds)
                 n = last - first
-                found, words = model.find(data, starts, ends)
-                p = _sigmoid(np.bincount(sentence[words], weights=weights[found],
+                found, own = model.find(data, starts, ends, sentence)
+                p = _sigmoid(np.bincount(own, weights=weights[found],
                                          minlength=len(doc)) + bias)
                 total = -np.expm1(_noisy_or(p, doc, n))
                 total = np.clip(total, 0.0, 1.0)
