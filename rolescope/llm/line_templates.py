@@ -8,13 +8,21 @@ from pyspark.sql import functions as F
 from rolescope.llm.base import materialize
 
 VARIABLE = "<*>"
-SEPARATOR = "[ \\t\\r\\f\\x0B]+"
+SPACES = " \\t\\r\\f\\x0B"
 
 
-def _tokens(line):
-    """Words of a line; those with a digit are variable fields."""
-    words = F.filter(F.split(line, SEPARATOR), lambda w: w != "")
-    return F.transform(words, lambda w: F.when(w.rlike("[0-9]"), VARIABLE).otherwise(w))
+def _masked(words):
+    """Non-empty words; those with a digit are variable fields."""
+    return F.transform(F.filter(words, lambda w: w != ""),
+                       lambda w: F.when(w.rlike("[0-9]"), VARIABLE).otherwise(w))
+
+
+def _leaf(line, depth: int):
+    """Hash of the number of words and the first ``depth`` of them; NULL without a word."""
+    count = F.regexp_count(line, F.lit(f"[^{SPACES}]+"))
+    start = F.regexp_replace(line, f"^[{SPACES}]+", "")
+    lead = _masked(F.slice(F.split(start, f"[{SPACES}]+", depth + 1), 1, depth))
+    return F.when(count > 0, F.xxhash64(F.concat_ws(" ", count.cast("string"), lead)))
 
 
 def line_templates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", *,
@@ -30,25 +38,38 @@ def line_templates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     are dropped, wherever they stand. Lines without a token stay.
 
     Identical texts count once, so a group of copies does not make its own lines recur. Counts
-    are combined before each shuffle; a leaf's positions, not its lines, meet in one row, so a line
-    that a third of all documents share stays spread. Texts move once to meet their line numbers.
+    are combined before each shuffle. Lines are first known by two 64-bit hashes (text and leaf)
+    and a number; only those in leaves that recur meet their text again, one row of each distinct
+    text, and a leaf's positions, not its lines, meet in one row, so a line that a third of all
+    documents share stays spread.
 
     NULL text is empty (one line without a token); NULL and repeated ids are rows like any other;
     an empty table gives no rows; other columns are ignored.
     """
     source = docs.select(F.col(id_col).alias("id"), F.coalesce(text_col, F.lit("")).alias("text"))
-    keyed = source.withColumn("key", F.md5("text"))
-    lines = (keyed.select("key", F.posexplode(F.split("text", "\n")).alias("line_no", "line"))
-             .withColumn("tokens", _tokens(F.col("line"))).where(F.size("tokens") > 0)
-             .withColumn("leaf", F.concat_ws(" ", F.size("tokens").cast("string"),
-                                             F.slice("tokens", 1, depth))))
+    keyed = source.withColumn("key", F.xxhash64("text"))
+    lines = (keyed.select("id", "key", F.posexplode(F.split("text", "\n")).alias("line_no", "line"))
+             .select("id", "key", "line_no", _leaf(F.col("line"), depth).alias("leaf"))
+             .where(F.col("leaf").isNotNull()))
+    lines = materialize(lines, "line-leaves")
     reached = (lines.select("leaf", "key").distinct().groupBy("leaf")
                .agg(F.count(F.lit(1)).alias("texts")).where(F.col("texts") >= min_docs))
-    # every copy of a text has the same lines: one row each is enough from here on
-    met = materialize(lines.select("leaf", "key", "line_no", "tokens")
-                      .join(reached.select("leaf"), "leaf", "left_semi"), "line-leaves")
-    unique = met.dropDuplicates(["key", "line_no"])
-    fields = unique.select("leaf", F.posexplode("tokens").alias("pos", "token"))
+    # one row of each distinct text stands for all its copies
+    found = (lines.join(reached.select("leaf"), "leaf", "left_semi")
+             .groupBy("key", "line_no", "leaf").agg(F.min("id").alias("first"))
+             .groupBy("key", "first").agg(F.collect_list(F.struct("line_no", "leaf")).alias("at"))
+             .withColumnRenamed("key", "at_key"))  # at most the lines of one text
+    all_lines = F.split("text", "\n")
+    met = materialize(
+        keyed.join(found, (F.col("key") == F.col("at_key"))
+                   & F.col("id").eqNullSafe(F.col("first")))
+        .select("key", F.explode(F.transform("at", lambda x: F.struct(
+            x["leaf"].alias("leaf"), x["line_no"].alias("line_no"),
+            _masked(F.split(F.get(all_lines, x["line_no"]), f"[{SPACES}]+")).alias("tokens"))))
+            .alias("x"))
+        .select("key", "x.leaf", "x.line_no", "x.tokens").dropDuplicates(["key", "line_no"]),
+        "line-tokens")
+    fields = met.select("leaf", F.posexplode("tokens").alias("pos", "token"))
     counts = fields.groupBy("leaf", "pos", "token").agg(F.count(F.lit(1)).alias("c"))
     top = counts.groupBy("leaf", "pos").agg(
         F.sum("c").alias("lines"), F.max(F.struct("c", "token")).alias("top"))
@@ -56,7 +77,7 @@ def line_templates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         F.collect_list(F.struct("pos", F.col("top.token").alias("token"))).alias("fixed")))
     same = F.size(F.filter("fixed", lambda x: F.col("tokens")[x["pos"]] == x["token"]))
     follow = materialize(
-        unique.join(template, "leaf").where(same >= similarity * F.size("tokens"))
+        met.join(template, "leaf").where(same >= similarity * F.size("tokens"))
         .select("leaf", "key", "line_no"), "line-follow")
     recurring = (follow.select("leaf", "key").distinct().groupBy("leaf")
                  .agg(F.count(F.lit(1)).alias("texts")).where(F.col("texts") >= min_docs))
@@ -64,7 +85,7 @@ def line_templates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
                .agg(F.collect_list("line_no").alias("gone")))
     gone = F.coalesce("gone", F.array().cast("array<int>"))
     return keyed.join(dropped, "key", "left").select(
-        F.col("id").alias(id_col), F.split("text", "\n").alias("all"), gone.alias("gone")).select(
+        F.col("id").alias(id_col), all_lines.alias("all"), gone.alias("gone")).select(
         id_col, F.size("all").cast("bigint").alias("n_lines"),
         F.size("gone").cast("bigint").alias("n_dropped"),
         F.array_join(F.filter("all", lambda _, i: ~F.array_contains("gone", i)), "\n")
