@@ -7,7 +7,7 @@ from dataclasses import dataclass
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from rolescope.llm.base import (components, hash_words, local_roots, materialize, mix, rolling,
@@ -131,16 +131,23 @@ def _blocks(shared: DataFrame, plan: ForestPlan) -> DataFrame:
 
     def number(batches):
         from pyspark import TaskContext
-        at, part = 0, TaskContext.get().partitionId() << 40
+        at, part = 0, TaskContext.get().partitionId()
         for batch in batches:
-            blocks = part + (np.arange(at, at + batch.num_rows) // plan.block)
+            place = np.arange(at, at + batch.num_rows)
             at += batch.num_rows
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(blocks)], ["key", "block"])
+                [batch.column(0), pa.array(np.full(len(place), part)), pa.array(place)],
+                ["key", "part", "at"])
 
     ordered = label.repartitionByRange("label", "key").sortWithinPartitions("label", "key")
-    return materialize(ordered.select("key").mapInArrow(number, "key bigint, block bigint"),
-                       "ngram-blocks")
+    placed = materialize(ordered.select("key").mapInArrow(
+        number, "key bigint, part bigint, at bigint"), "ngram-order")
+    before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)  # a row a partition
+    offsets = placed.groupBy("part").agg(F.count(F.lit(1)).alias("n")).select(
+        "part", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("offset"))
+    return materialize(placed.join(offsets, "part").select(
+        "key", F.floor((F.col("offset") + F.col("at")) / plan.block).cast("bigint")
+        .alias("block")), "ngram-blocks")
 
 
 def _exact(sets: list[np.ndarray], pairs: np.ndarray) -> np.ndarray:
