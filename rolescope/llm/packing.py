@@ -19,7 +19,7 @@ END_ID = 1
 # Hash buckets in which the pieces of one length are numbered.
 BUCKETS = 1024
 # Words whose ids a worker remembers, and the longest word that it does.
-REMEMBERED, LONGEST = 500_000, 48
+REMEMBERED, LONGEST = 200_000, 48
 
 _MEMORY: dict = {}
 
