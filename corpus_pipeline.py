@@ -31,8 +31,8 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of equal texts (the smallest id)."""
-    return drop_exact(docs)
+    """One document of each group of equal texts (the smallest id, a row without id if none has)."""
+    return drop_exact(docs, without_id=True)
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+from string import ascii_lowercase, ascii_uppercase
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -70,9 +71,21 @@ def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
 
 def drop_exact(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", *,
-               keep: str = "smallest") -> DataFrame:
-    """The rows that stay, with all their columns; one row if the same row is repeated."""
-    stay = exact_groups(docs, id_col, text_col, keep=keep).where("kept").select(
-        F.col(id_col).alias("__keep")).distinct()
-    kept = docs.join(stay, docs[id_col] == stay["__keep"], "left_semi")
-    return kept.dropDuplicates([id_col])
+               keep: str = "smallest", without_id: bool = False) -> DataFrame:
+    """The rows that stay, with all their columns: one row of each group of equal texts.
+
+    A survivor is known by its id and the digest of its text, so different texts that share an id
+    stay each. Groups of which no row has an id are left out, unless ``without_id`` lets one row of
+    each stay.
+    """
+    groups = exact_groups(docs, id_col, text_col, keep=keep)
+    stays = F.col("kept")
+    if without_id:
+        stays = stays | F.col("keep_id").isNull()
+    stay = groups.where(stays).select(F.col(id_col).alias("__keep"),
+                                      F.col("text_sha256").alias("__sha")).distinct()
+    folded = F.translate(F.coalesce(F.col(text_col), F.lit("")), ascii_uppercase, ascii_lowercase)
+    own = docs.withColumn("__digest", F.sha2(folded, 256))
+    kept = own.join(stay, own[id_col].eqNullSafe(F.col("__keep"))
+                    & (F.col("__digest") == F.col("__sha")), "left_semi")
+    return kept.dropDuplicates([id_col, "__digest"]).drop("__digest")

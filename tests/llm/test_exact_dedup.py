@@ -5,8 +5,11 @@ from collections import defaultdict
 
 import pytest
 
+import corpus_pipeline
 from rolescope.llm.exact_dedup import drop_exact, exact_groups
 
+from .conftest import frame
+
 
 def brute(corpus, pick):
     groups = defaultdict(list)
@@ -41,3 +44,18 @@ def test_empty_table_and_drop(docs, corpus, empty_docs):
     kept = drop_exact(docs)
     assert kept.columns == docs.columns
     assert kept.count() == len({r[1] for r in brute(corpus, min) if r[1] is not None})
+
+
+def test_no_text_is_lost(spark, sf_dir, corpus):
+    """Texts without any id, and different texts that share an id, each keep one row."""
+    rows = [*corpus, (None, "No Id Twice", "a"), (None, "no id twice", "b"),
+            (9000, "one text", "a"), (9000, "another text", "a"),
+            (9001, "held by a smaller id", "a"), (9001, "by this id alone", "a"),
+            (8999, "Held by a smaller id", "a")]
+    kept = [(r["doc_id"], (r["text"] or "").encode().lower()) for r in
+            corpus_pipeline.drop_copies(spark, frame(spark, rows), sf_dir).collect()]
+    texts = [t for _, t in kept]
+    assert len(texts) == len(set(texts))
+    assert set(texts) == {(t or "").encode().lower() for _, t, _ in rows}
+    assert (8999, b"held by a smaller id") in kept and (None, b"no id twice") in kept
+    assert {t for i, t in kept if i == 9000} == {b"one text", b"another text"}
