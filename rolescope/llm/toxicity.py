@@ -6,12 +6,12 @@ import zlib
 from dataclasses import dataclass
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rolescope.llm.base import (UPDATE, average_models, hash_spans, materialize, mix,
-                                model_update, text_slices, word_spans)
+from rolescope.llm.base import hash_spans, materialize, mix, text_slices, word_spans
 
 _U = np.uint64
 # Everything but letters, digits and bytes of other scripts separates words.
@@ -23,9 +23,13 @@ PREFIXES = (4, 5, 6, 7, 8)
 
 @dataclass(frozen=True)
 class MilPlan:
-    """``max_docs`` bounds the labelled documents learned from (least hash of the id)."""
+    """``max_docs`` bounds the labelled documents learned from (least hash of the id).
+
+    They are dealt by hash of the id to ``tasks`` local models, on any number of cores.
+    """
 
     max_docs: int = 40_000
+    tasks: int = 8
     min_docs: int = 4
     least_z: float = 7.0
     rounds: int = 6
@@ -135,9 +139,10 @@ def train(docs: DataFrame, labels: DataFrame, plan: MilPlan = MilPlan(), id_col:
     beginning of words (their first four to eight bytes), gets a weight if at least
     ``plan.min_docs`` toxic documents hold it and their number is ``plan.least_z`` standard
     deviations above chance, so labels, features and weights have bounded size and rare words do
-    not explain single documents away. Tasks train on their share
-    from common weights, and the mean of their models starts the next round. Documents without a
-    label, and ids that are NULL, teach nothing; an id with several labels counts as its largest.
+    not explain single documents away. ``plan.tasks`` shares, dealt by hash of the id and each
+    ordered by its content, train from common weights, and the mean of their models starts the next
+    round, so the model does not depend on cores or partitions. Documents without a label, and ids
+    that are NULL, teach nothing; an id with several labels counts as its largest.
     """
     spark = docs.sparkSession
     chosen = (labels.select(F.col(id_col).alias("l_id"), F.col(label_col).alias("y"))
@@ -146,7 +151,8 @@ def train(docs: DataFrame, labels: DataFrame, plan: MilPlan = MilPlan(), id_col:
               .groupBy("l_id").agg(F.max("y").cast("int").alias("y"))
               .orderBy(F.xxhash64("l_id"), "l_id").limit(plan.max_docs))
     sample = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).join(
-        F.broadcast(chosen), F.col("id") == F.col("l_id")).select("y", "text")
+        F.broadcast(chosen), F.col("id") == F.col("l_id")).select(
+        "y", "text", F.xxhash64("l_id").alias("key"))
     sample = materialize(sample.repartition(max(spark.sparkContext.defaultParallelism, 2)),
                          "mil-sample")
 
@@ -195,28 +201,31 @@ def train(docs: DataFrame, labels: DataFrame, plan: MilPlan = MilPlan(), id_col:
                          (own[a:b] - at[i]).astype(np.int32).tobytes(), int(at[i + 1] - at[i]))
                         for i, (a, b) in enumerate(zip(cuts, cuts[1:]))]
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array([r[k] for r in rows], t) for k, t in enumerate(
-                        (pa.int32(), pa.binary(), pa.binary(), pa.int32()))],
-                    ["y", "feature", "sentence", "n"])
-
-    bags = materialize(sample.mapInArrow(cut, "y int, feature binary, sentence binary, n int"),
-                       "mil-bags")
+                    [batch.column(2).slice(first, last - first),
+                     *[pa.array([r[k] for r in rows], t) for k, t in enumerate(
+                         (pa.int32(), pa.binary(), pa.binary(), pa.int32()))]],
+                    ["key", "y", "feature", "sentence", "n"])
+
+    bags = materialize(
+        sample.mapInArrow(cut, "key bigint, y int, feature binary, sentence binary, n int")
+        .where("n > 0").withColumn("task", F.expr(f"int(pmod(key, {plan.tasks}))")), "mil-bags")
     for turn in range(plan.rounds):
-        def update(batches, turn=turn, model=model):
-            docs, changed = [], np.zeros_like(model.weights)
-            for batch in batches:
-                for y, found, sentence, n in zip(*(c.to_pylist() for c in batch.columns)):
-                    if n:
-                        docs.append((y, *(np.frombuffer(x, dtype=np.int32).astype(np.int64)
-                                          for x in (found, sentence)), n))
-            if docs:
-                changed = _learn(docs, model.weights, plan, turn)
-            yield model_update(changed, float(len(docs)), 8)
-
-        step = average_models(bags.mapInArrow(update, UPDATE), model.weights.shape)
-        if step is None:
+        def update(group):
+            rows = sorted(zip(*(group[c].tolist() for c in (
+                "key", "y", "feature", "sentence", "n"))))  # not as the shuffle brought them
+            docs = [(y, *(np.frombuffer(x, dtype=np.int32).astype(np.int64)
+                          for x in (found, sentence)), n) for _, y, found, sentence, n in rows]
+            changed = _learn(docs, model.weights, plan, turn)
+            return pd.DataFrame({"task": group["task"].iloc[:1], "docs": [len(docs)],
+                                 "delta": [changed.tobytes()]})
+
+        steps = sorted(bags.groupBy("task").applyInPandas(
+            update, "task int, docs bigint, delta binary").collect())  # a row a task
+        if not steps:
             break
-        model = MilModel(model.features, model.weights + step)
+        step = sum(r["docs"] * np.frombuffer(r["delta"], dtype=np.float32).astype(np.float64)
+                   for r in steps) / sum(r["docs"] for r in steps)
+        model = MilModel(model.features, (model.weights + step).astype(np.float32))
     return model
 
 

@@ -1,7 +1,11 @@
 from __future__ import annotations
 
+import os
 import random
+import subprocess
+import sys
 import zlib
+from pathlib import Path
 
 from rolescope.llm import toxicity
 from rolescope.llm.queries import QUERIES
@@ -74,3 +78,32 @@ def test_query_on_held_out_labels(spark):
               if out[r["doc_id"]]["held_out"]]
     right = sum(out[r["doc_id"]]["predicted"] == r["toxic"] for r in labels)
     assert right / len(labels) > 0.9
+
+
+CORES = """
+import hashlib, sys
+from pyspark.sql import SparkSession
+from rolescope.llm import toxicity
+from tests.llm.conftest import frame
+from tests.llm.test_toxicity import data
+spark = (SparkSession.builder.master(sys.argv[1]).config("spark.ui.enabled", "false")
+         .config("spark.sql.shuffle.partitions", "8").getOrCreate())
+rows, labels = data()
+docs = frame(spark, rows)
+model = toxicity.train(docs, spark.createDataFrame(labels, "doc_id bigint, quality int, toxic int"))
+out = sorted((r["doc_id"], r["score"], r["predicted"]) for r in toxicity.score(docs, model).collect())
+print("SCORES", len(out), hashlib.sha256(repr(out).encode()).hexdigest())
+"""
+
+
+def test_scores_do_not_depend_on_cores():
+    root = str(Path(__file__).parents[2])
+    said = []
+    for master in ("local[2]", "local[4]"):
+        out = subprocess.run(
+            [sys.executable, "-c", CORES, master], cwd=root, capture_output=True, text=True,
+            timeout=300, env=os.environ | {
+                "PYTHONPATH": f"{root}{os.pathsep}{os.environ.get('PYTHONPATH', '')}"})
+        assert out.returncode == 0, out.stderr[-2000:]
+        said.append([x for x in out.stdout.splitlines() if x.startswith("SCORES")])
+    assert said[0] and said[0] == said[1]
