@@ -15,7 +15,7 @@ from rolescope.llm.base import (components, hash_words, local_roots, materialize
 
 _U = np.uint64
 # Kinds of rows that verification returns.
-LINK, EDGE, STAT = 0, 1, 2
+LINK, EDGE = 0, 1
 
 
 @dataclass(frozen=True)
@@ -23,9 +23,9 @@ class ForestPlan:
     """Shape of the LSH forest.
 
     ``trees`` prefix tries over signatures of ``depth`` minima each. Matching starts at full depth
-    and shortens the prefix while the estimated recall of the links is below ``recall``, at most
-    to the depth at which ``1 - (1 - similarity ** depth) ** trees`` reaches ``recall``, that is,
-    at which even a pair of exactly the threshold's similarity is found that often.
+    and shortens the prefix to the depth at which ``1 - (1 - similarity ** depth) ** trees``
+    reaches ``recall``, that is, at which even a pair of exactly the threshold's similarity is
+    found that often, whatever else the corpus holds.
     """
 
     words: int = 5
@@ -178,9 +178,8 @@ def _exact(sets: list[np.ndarray], pairs: np.ndarray) -> np.ndarray:
 def _verify(group: pd.DataFrame, plan: ForestPlan, depth: int) -> pd.DataFrame:
     """Links between the sets of two blocks (or within one) that first match at ``depth``.
 
-    Rows ``kind, a, b, n, found, expected``: LINK counts documents linked to set ``a`` through
-    other sets, EDGE is a spanning edge, STAT sums what the recall is estimated from. No
-    list of all linked pairs leaves the task.
+    Rows ``kind, a, b, n``: LINK counts documents linked to set ``a`` through other sets, EDGE is a
+    spanning edge. No list of all linked pairs leaves the task.
     """
     group = group.drop_duplicates("key").sort_values("key").reset_index(drop=True)
     left, right = group["i"].iloc[0], group["j"].iloc[0]
@@ -202,13 +201,13 @@ def _verify(group: pd.DataFrame, plan: ForestPlan, depth: int) -> pd.DataFrame:
             b = b[~(nodes[b, level + 1] == nodes[a, level + 1]).any(axis=1)]
         rows.append(np.full(len(b), a))
         cols.append(b)
-    empty = pd.DataFrame({"kind": [], "a": [], "b": [], "n": [], "found": [], "expected": []})
+    empty = pd.DataFrame({"kind": [], "a": [], "b": [], "n": []})
     pairs = np.stack([np.concatenate(rows), np.concatenate(cols)], axis=1) if rows else []
     if not len(pairs):
         return empty
     similarity = _exact([np.frombuffer(b, dtype=_U) for b in group["shingles"]], pairs)
     linked = similarity >= plan.similarity - 1e-12
-    pairs, similarity = pairs[linked], similarity[linked]
+    pairs = pairs[linked]
     if not len(pairs):
         return empty
     copies, keys = group["copies"].to_numpy(), group["key"].to_numpy()
@@ -217,17 +216,12 @@ def _verify(group: pd.DataFrame, plan: ForestPlan, depth: int) -> pd.DataFrame:
     root = local_roots(n, pairs[:, 0], pairs[:, 1])
     tied = np.flatnonzero(root != np.arange(n))
     some = np.flatnonzero(counts)
-    seen = np.array([plan.found(s, depth) for s in similarity])
     return pd.concat([
-        pd.DataFrame({"kind": LINK, "a": keys[some], "b": 0, "n": counts[some].astype(np.int64),
-                      "found": 0.0, "expected": 0.0}),
-        pd.DataFrame({"kind": EDGE, "a": keys[tied], "b": keys[root[tied]], "n": 0,
-                      "found": 0.0, "expected": 0.0}),
-        pd.DataFrame({"kind": [STAT], "a": 0, "b": 0, "n": 0, "found": float(len(pairs)),
-                      "expected": float((1.0 / seen).sum())})])
+        pd.DataFrame({"kind": LINK, "a": keys[some], "b": 0, "n": counts[some].astype(np.int64)}),
+        pd.DataFrame({"kind": EDGE, "a": keys[tied], "b": keys[root[tied]], "n": 0})])
 
 
-_OUT = "kind int, a bigint, b bigint, n bigint, found double, expected double"
+_OUT = "kind int, a bigint, b bigint, n bigint"
 
 
 def _round(reps: DataFrame, shared: DataFrame, plan: ForestPlan, depth: int) -> DataFrame:
@@ -291,8 +285,8 @@ def ngram_links(docs: DataFrame, plan: ForestPlan = ForestPlan(), id_col: str =
     are verified in one task each on the complete shingle hashes: a pair belongs to exactly one
     pair of blocks, and what leaves a task is a count per set and a spanning forest, so a large
     group yields no list of all its pairs and never meets in one task. Prefixes are shortened by
-    one, and only newly matching pairs verified, until found links over found links weighted by
-    the inverse chance of finding them reaches the target recall.
+    one, and only newly matching pairs verified, down to ``plan.last_depth`` in every corpus: the
+    many links of a large group say nothing about pairs near the threshold.
 
     A text of one to four words is one shingle; an empty or NULL text has none and links to
     nothing. Repeated rows and ids count as documents of their own. A NULL id is no ``class_id``.
@@ -312,16 +306,10 @@ def ngram_links(docs: DataFrame, plan: ForestPlan = ForestPlan(), id_col: str =
     near = materialize(_with_sets(
         source, reps.join(widest.select("key").distinct(), "key", "left_semi"), plan),
         "ngram-candidates")
-    rounds, found, expected = [], 0.0, 0.0
+    rounds = []
     for depth in range(plan.depth, plan.last_depth - 1, -1):
         shared = widest if depth == plan.last_depth else _shared(near, plan, depth)
-        part = materialize(_round(near, shared, plan, depth), f"ngram-links-{depth}")
-        rounds.append(part)
-        stat = part.where(F.col("kind") == STAT).agg(F.sum("found"), F.sum("expected")).first()
-        found += stat[0] or 0.0
-        expected += stat[1] or 0.0
-        if found and found / max(expected, found) >= plan.recall:
-            break
+        rounds.append(materialize(_round(near, shared, plan, depth), f"ngram-links-{depth}"))
     links = rounds[0]
     for part in rounds[1:]:
         links = links.unionByName(part)

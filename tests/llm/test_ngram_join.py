@@ -109,3 +109,26 @@ def test_components_of_chains_and_stars(spark):
     got = dict(components(spark.createDataFrame(edges, "a bigint, b bigint")).collect())
     assert got == {i: 0 for i in range(201)} | {1000 + i: 1000 for i in range(100)}
     assert components(spark.createDataFrame([], "a bigint, b bigint")).count() == 0
+
+
+def test_a_large_group_does_not_end_the_search_for_others(spark):
+    """Few trees, so that full depth misses many pairs near the threshold and the last few."""
+    rng = random.Random(8)
+    rows = []
+    for i in range(60):
+        words = text(rng, 100).split()
+        other = list(words)
+        other[50] = other[30] = "zz"
+        rows += [(2 * i, " ".join(words), "a"), (2 * i + 1, " ".join(other), "a")]
+    base = text(rng, 300).split()
+    hot = [(1000 + i, " ".join([*base, f"v{i}"]), "a") for i in range(150)]
+    plan = ForestPlan(trees=8, depth=6, recall=0.99)
+    assert plan.found(0.8, 6) < 0.92 and plan.last_depth < 6
+
+    def pairs(some):
+        return sorted(tuple(r) for r in ngram_links(frame(spark, some), plan).collect()
+                      if r["doc_id"] < 1000)
+
+    alone = pairs(rows)
+    assert sum(r[2] for r in alone) >= 2 * 57
+    assert pairs(rows + hot) == alone
