@@ -1,4 +1,4 @@
-"""Substring dedup: documents factored against blocks of earlier documents."""
+"""Substring dedup: windows on shared blocks looked up by hash, hits merged into factors."""
 
 from __future__ import annotations
 
@@ -38,11 +38,11 @@ def window_blocks(words: np.ndarray, window: int) -> np.ndarray:
 
 
 def parse(starts: list[int], refs: list, window: int) -> list[tuple]:
-    """Greedy factors ``(start, end, ref)`` from the windows that the reference holds.
+    """Factors ``(start, end, ref)``: runs of found windows with one reference document, merged.
 
-    From left to right, a factor grows while the next window is found in the same reference
-    document. Windows over a factor's boundary were looked up like all others, so a match that
-    begins inside one factor and goes on in another document becomes a factor of its own.
+    Every window was looked up by its hash, those over a factor's boundary too, so a match that
+    begins inside one factor and goes on in another document becomes a factor of its own. No match
+    is extended against the words of the reference.
     """
     factors: list[tuple] = []
     for s, ref in zip(starts, refs):
