@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from rolescope.llm import toxicity
 from rolescope.llm.base import documents
 from rolescope.llm.exact_dedup import exact_groups
+from rolescope.llm.filter_audit import filter_audit
 from rolescope.llm.line_templates import line_templates
 from rolescope.llm.lm_scoring import lm_scores
 from rolescope.llm.mixing import mix_plan
@@ -168,3 +169,43 @@ def op8_toxicity(spark, d):
     return toxicity.score(docs, model).select(
         "doc_id", (F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary"))
                    % 3 == 1).alias("held_out"), "score", "predicted", "offending")
+
+
+@query
+def op12_filter_audit(spark, d):
+    return filter_audit(documents(spark, d), documents(spark, d, "labels"))
+
+
+ORACLE["op12_filter_audit"] = r"""
+WITH marks AS (SELECT doc_id, max(CASE WHEN quality = 1 THEN 1 ELSE 0 END) AS good,
+                      max(CASE WHEN toxic = 1 THEN 1 ELSE 0 END) AS toxic
+               FROM labels WHERE doc_id IS NOT NULL GROUP BY doc_id),
+t AS (SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS body FROM documents),
+w AS (SELECT *, regexp_extract_all(body, '[^\x20\x09-\x0D]+') AS words,
+             coalesce(doc_id > min(doc_id) OVER (PARTITION BY body), false) AS e FROM t),
+f AS (SELECT doc_id, part, [len(words) < 200, 100 * len(list_distinct(words)) < 50 * len(words),
+             100 * len(regexp_extract_all(body, '[A-Z]')) > 3 * length(body),
+             regexp_matches(body, '[#$%&*|]'), e] AS fails FROM w),
+cells AS (SELECT part, fails, count(*) AS n, sum(coalesce(good, 0)) AS good,
+                 sum(coalesce(toxic, 0)) AS toxic
+          FROM f LEFT JOIN marks USING (doc_id) GROUP BY part, fails),
+letters AS (SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS l, unnest([1, 2, 3, 4, 5]) AS i),
+orders AS (SELECT a.l || b.l || c.l || d.l || e.l AS filter_order, [a.i, b.i, c.i, d.i, e.i] AS seq
+           FROM letters a JOIN letters b ON b.l <> a.l JOIN letters c ON c.l NOT IN (a.l, b.l)
+           JOIN letters d ON d.l NOT IN (a.l, b.l, c.l)
+           JOIN letters e ON e.l NOT IN (a.l, b.l, c.l, d.l)),
+steps AS (SELECT filter_order, step::INT AS step, seq[step] AS f, seq[1:step - 1] AS before
+          FROM orders, unnest([1, 2, 3, 4, 5]) AS s(step)),
+met AS (SELECT c.part, s.filter_order, s.step, s.f, c.n, c.good, c.toxic, c.fails[s.f] AS failed,
+               len([x FOR x IN s.before IF c.fails[x]]) > 0 AS gone,
+               len([x FOR x IN c.fails IF x]) = 1 AS alone
+        FROM cells c, steps s),
+rows AS (SELECT part, filter_order, step, f,
+                coalesce(sum(n) FILTER (NOT gone AND NOT failed), 0)::BIGINT AS kept,
+                coalesce(sum(n) FILTER (NOT gone AND failed), 0)::BIGINT AS removed,
+                coalesce(sum(n) FILTER (gone AND failed), 0)::BIGINT AS redundant,
+                coalesce(sum(n) FILTER (failed AND alone), 0)::BIGINT AS unique_fails,
+                coalesce(sum(good) FILTER (NOT gone AND failed), 0)::BIGINT AS good_lost,
+                coalesce(sum(toxic) FILTER (NOT gone AND failed), 0)::BIGINT AS toxic_lost
+         FROM met GROUP BY part, filter_order, step, f)
+SELECT * EXCLUDE (f), sum(removed) OVER (PARTITION BY part, f)::BIGINT AS shapley FROM rows"""
