@@ -19,12 +19,14 @@ from rolescope.llm.ngram_join import ngram_links
 from rolescope.llm.packing import pack
 from rolescope.llm.secrets import BASE, EXTRA, scan_ledger, span_text
 from rolescope.llm.substring_dedup import repeated_spans
+from rolescope.llm.token_files import token_index
 from rolescope.llm.vector_links import vector_links
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 ORACLE: dict[str, str] = {}
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
+BYTE_TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
 
 
 def query(f: Query) -> Query:
@@ -171,6 +173,11 @@ def op8_toxicity(spark, d):
                    % 3 == 1).alias("held_out"), "score", "predicted", "offending")
 
 
+@query
+def op11_token_files(spark, d):
+    return token_index(documents(spark, d), BYTE_TOKENIZER)
+
+
 @query
 def op12_filter_audit(spark, d):
     return filter_audit(documents(spark, d), documents(spark, d, "labels"))
