@@ -18,6 +18,7 @@ from rolescope.llm.mixing import mix_plan
 from rolescope.llm.ngram_join import ngram_links
 from rolescope.llm.packing import pack
 from rolescope.llm.secrets import BASE, EXTRA, scan_ledger, span_text
+from rolescope.llm.spelling import spelling_forms
 from rolescope.llm.substring_dedup import repeated_spans
 from rolescope.llm.token_files import token_index
 from rolescope.llm.vector_links import vector_links
@@ -216,3 +217,8 @@ rows AS (SELECT part, filter_order, step, f,
                 coalesce(sum(toxic) FILTER (NOT gone AND failed), 0)::BIGINT AS toxic_lost
          FROM met GROUP BY part, filter_order, step, f)
 SELECT * EXCLUDE (f), sum(removed) OVER (PARTITION BY part, f)::BIGINT AS shapley FROM rows"""
+
+
+@query
+def op13_spelling_variants(spark, d):
+    return spelling_forms(documents(spark, d))
