@@ -6,36 +6,35 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from rolescope.functions.columns import n_rows, n_where, pct, ref, rows_from
-from rolescope.operators.quantiles import approx_median, exact_quantile
+from rolescope.operators.quantiles import approx_median, exact_summary
 
 
-def _measures(column: Column, i: int, median: bool) -> list[Column]:
-    wanted = [F.count(column).alias(f"cnt{i}"), F.avg(column).alias(f"mean{i}"),
-              F.min(column).cast("double").alias(f"min{i}"),
-              F.max(column).cast("double").alias(f"max{i}")]
-    if median:
-        wanted.append(approx_median(column).cast("double").alias(f"median{i}"))
-    return wanted
+def _measures(column: Column, i: int) -> list[Column]:
+    return [F.count(column).alias(f"cnt{i}"), F.avg(column).alias(f"mean{i}"),
+            approx_median(column).cast("double").alias(f"median{i}"),
+            F.min(column).cast("double").alias(f"min{i}"),
+            F.max(column).cast("double").alias(f"max{i}")]
 
 
-def _overlay(measured: DataFrame, more: DataFrame, *keys: str) -> DataFrame:
-    """Both aggregates' columns side by side per key: a union of small results, merged by MAX."""
-    both = measured.unionByName(more, allowMissingColumns=True)
-    return both.groupBy(*keys).agg(*[F.max(c).alias(c) for c in both.columns if c not in keys])
+def _exact_measures(digits: int) -> list[Column]:
+    return [F.round(F.col(c).cast("double"), digits).alias(name) for c, name in (
+        ("mean", "mean"), ("value", "median"), ("min", "min"), ("max", "max"))]
 
 
 def numeric_summary(df: DataFrame, columns: tuple[str, ...], *, exact: bool = False,
                     digits: int = 2) -> DataFrame:
     """``variable, cnt, missing, missing_pct, mean, median, min, max`` per column.
 
-    The default median is the bounded sketch, computed in the same single scan; ``exact`` narrows
-    the true median with further scans of the same columns.
+    The default median is the bounded sketch, computed in the same single scan; ``exact`` selects
+    the true median, and takes the other measures on the way, in two scans for all columns.
     """
-    one = df.agg(n_rows().alias("total"),
-                 *[m for i, c in enumerate(columns) for m in _measures(ref(c), i, not exact)])
     if exact:
-        medians = exact_quantile(df, {f"median{i}": ref(c) for i, c in enumerate(columns)})
-        one = _overlay(one, medians)
+        missing = F.col("total") - F.col("n")
+        return exact_summary(df, {c: ref(c) for c in columns}).select(
+            F.col("series").alias("variable"), F.col("n").alias("cnt"), missing.alias("missing"),
+            pct(missing, F.col("total")).alias("missing_pct"), *_exact_measures(digits))
+    one = df.agg(n_rows().alias("total"),
+                 *[m for i, c in enumerate(columns) for m in _measures(ref(c), i)])
     missing = [F.col("total") - F.col(f"cnt{i}") for i in range(len(columns))]
     return one.select(rows_from([
         F.struct(F.lit(c).alias("variable"), F.col(f"cnt{i}").alias("cnt"),
@@ -50,15 +49,14 @@ def summary_by_class(df: DataFrame, column: str, label: str, classes: tuple[int,
                      exact: bool = False, digits: int = 4) -> DataFrame:
     """``class, cnt, mean, median, min, max`` of a column within each class.
 
-    Exact medians cover the listed classes only; any other class shows none.
+    Exact medians of all classes come from the same two scans. Classes off the list are rows too,
+    so the label must not have unbounded values.
     """
-    value = ref(column)
-    grouped = df.groupBy(ref(label).alias("class")).agg(*_measures(value, 0, not exact))
     if exact:
-        medians = exact_quantile(df, {f"c{c}": F.when(ref(label) == c, value) for c in classes})
-        per_class = medians.select(rows_from([
-            F.struct(F.lit(c).alias("class"), F.col(f"c{c}").alias("median0")) for c in classes]))
-        grouped = _overlay(grouped, per_class, "class").where(F.col("cnt0").isNotNull())
+        return exact_summary(df, {column: ref(column)}, ref(label)).select(
+            F.col("group").alias("class"), F.col("n").alias("cnt"), *_exact_measures(digits)) \
+            .orderBy(F.col("class").asc_nulls_last())
+    grouped = df.groupBy(ref(label).alias("class")).agg(*_measures(ref(column), 0))
     return grouped.select(
         "class", F.col("cnt0").alias("cnt"), F.round("mean0", digits).alias("mean"),
         F.round("median0", digits).alias("median"), F.round("min0", digits).alias("min"),

@@ -5,6 +5,7 @@ from __future__ import annotations
 import re
 
 import pytest
+from pyspark.sql.classic.dataframe import DataFrame
 
 from rolescope.operators import quantiles, ranking
 from rolescope.plans import views
@@ -91,8 +92,17 @@ def test_broadcast_side_is_limited(spark, sf_dir):
     assert "TakeOrderedAndProject(limit=3" in broadcast
 
 
-def test_exact_quantile_shuffles_only_sketches_and_leftovers(spark, sf_dir):
+def test_exact_quantiles_scan_their_table_twice(spark, sf_dir, monkeypatch):
+    """One scan for the histograms, one for the left-overs; later rounds read these alone."""
+    ran, collect = [], DataFrame.collect
+    monkeypatch.setattr(DataFrame, "collect", lambda df: (r := collect(df), ran.append(planned(df)))[0])
     df = views.lines(spark, sf_dir)
-    text = executed(quantiles.exact_quantile(df, {"q": df["l_extendedprice"]}))
-    assert "percentile(" not in text
-    assert "ReusedSubquery" in text
+    quantiles.exact_summary(df, {c: df[c] for c in ("l_quantity", "l_extendedprice")},
+                            df["l_returnflag"])
+    first, *later = ran
+    assert "percentile" not in "".join(ran) and "InMemoryTableScan" not in first
+    assert 1 <= len(later) <= 3 and all("InMemoryTableScan" in p for p in later)
+    final = first.split("== Initial Plan ==")[0]
+    assert final.count("FileScan") == 1
+    # the window runs over cells: an aggregate stands below it
+    assert final.index("Window") < final.index("HashAggregate(keys=[s#")

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import datetime as dt
+import math
+import random
 
 import pytest
 from conftest import rows
@@ -278,10 +280,10 @@ def test_roles_must_be_set():
 @settings(max_examples=6, deadline=None, suppress_health_check=list(HealthCheck))
 @given(values=st.lists(st.one_of(st.none(), st.integers(-3, 3).map(float),
                                  st.floats(-1e9, 1e9)), max_size=60),
-       q=st.sampled_from([0.0, 0.25, 0.5, 0.9, 1.0]), rounds=st.sampled_from([1, 2, 3]))
-def test_exact_quantile_is_exact(spark, values, q, rounds):
+       q=st.sampled_from([0.0, 0.25, 0.5, 0.9, 1.0]))
+def test_exact_quantile_is_exact(spark, values, q):
     df = spark.createDataFrame([(v,) for v in values], "v double")
-    got = quantiles.exact_quantile(df, {"q": F.col("v")}, q, rounds).first()["q"]
+    got = quantiles.exact_quantile(df, {"q": F.col("v")}, q).first()["q"]
     known = sorted(v for v in values if v is not None)
     rank = max(-(-len(known) * int(q * 100) // 100), 1)
     assert got == (known[rank - 1] if known else None)
@@ -292,7 +294,7 @@ def test_exact_quantile_on_skewed_values(spark):
     df = spark.range(30_000).select(
         F.when(F.col("id") < 10_000, 1.0).otherwise(F.exp(F.col("id") / 400)).alias("v"))
     values = sorted(r[0] for r in df.collect())
-    got = quantiles.exact_quantile(df, {"a": F.col("v"), "b": -F.col("v")}, rounds=2).first()
+    got = quantiles.exact_quantile(df, {"a": F.col("v"), "b": -F.col("v")}).first()
     assert got["a"] == values[14_999]
     assert got["b"] == sorted(-v for v in values)[14_999]
 
@@ -302,3 +304,56 @@ def test_exact_quantile_keeps_wide_integers(spark):
     df = spark.range(1001).select((F.lit(base) + F.col("id")).alias("v"))
     got = quantiles.exact_quantile(df, {"q": F.col("v")}).first()["q"]
     assert got == base + 500
+
+
+def _rank(values, q):
+    known = sorted((v for v in values if v is not None),
+                   key=lambda v: (math.isnan(v), 0 if math.isnan(v) else v))
+    return known[max(math.ceil(len(known) * q), 1) - 1] if known else None
+
+
+@pytest.mark.parametrize("kind", ["string", "int", "date", "boolean"])
+def test_exact_summary_of_groups(spark, kind):
+    rng = random.Random(kind)
+    groups = {"string": ["it's", "b`", "", None], "int": [1, -2, None],
+              "date": [dt.date(2020, 1, 2), None], "boolean": [True, False, None]}[kind]
+    odd = [None, 0.0, -0.0, 5e-324, -1e308, 1e308, float("inf"), float("-inf"), float("nan"), 0.1]
+    data = [(rng.choice(groups), rng.choice([rng.choice(odd), rng.gauss(0, 1e3), rng.random()]),
+             rng.choice([None, rng.gauss(5, 1e-9)])) for _ in range(900)]
+    df = spark.createDataFrame(data, f"g {kind}, a double, b double").repartition(5)
+    for q in (0.5, 0.9):
+        got = {(r["series"], r["group"]): r for r in quantiles.exact_summary(
+            df, {"a": F.col("a"), "b": F.col("b")}, F.col("g"), q).collect()}
+        assert len(got) == 2 * len(groups)
+        for i, name in enumerate("ab", 1):
+            for g in groups:
+                mine = [r[i] for r in data if r[0] == g and type(r[0]) is type(g)]
+                r = got[name, g]
+                want = _rank(mine, q)
+                assert r["value"] == want or math.isnan(want) and math.isnan(r["value"])
+                assert (r["total"], r["n"]) == (len(mine), sum(v is not None for v in mine))
+    b = [r[2] for r in data if r[2] is not None]
+    every = quantiles.exact_summary(df, {"b": F.col("b")}).first()
+    assert (every["min"], every["max"], every["value"]) == (min(b), max(b), _rank(b, 0.5))
+    assert every["mean"] == pytest.approx(sum(b) / len(b))
+
+
+def test_exact_quantile_takes_as_many_rounds_as_it_needs(spark):
+    """Neighbouring doubles of one bucket: 65,536 slots hold several values each."""
+    step = 2.0 ** -52
+    df = spark.range(300_000).select((1 + F.col("id") * F.lit(step)).alias("v"), F.lit("x").alias("g"))
+    got = quantiles.exact_summary(df.unionByName(df.select((F.col("v") * 1e-200).alias("v"),
+                                                          F.lit("y").alias("g"))),
+                                  {"v": F.col("v")}, F.col("g")).collect()
+    assert {r["group"]: r["value"] for r in got} == {
+        "x": 1 + 149_999 * step, "y": (1 + 149_999 * step) * 1e-200}
+
+
+def test_exact_summary_of_nothing(spark):
+    df = spark.createDataFrame([], "g int, v double")
+    assert rows(quantiles.exact_summary(df, {"v": F.col("v")}, F.col("g"))) == []
+    assert rows(quantiles.exact_summary(df, {"v": F.col("v")})) == [
+        ("v", None, 0, 0, None, None, None, None)]
+    df = spark.createDataFrame([(1, None), (2, 3.0)], "g int, v double")
+    got = rows(quantiles.exact_summary(df, {"v": F.col("v")}, F.col("g")).orderBy("group"))
+    assert got == [("v", 1, 1, 0, None, None, None, None), ("v", 2, 1, 1, 3.0, 3.0, 3.0, 3.0)]
