@@ -25,13 +25,14 @@ PREFIXES = (4, 5, 6, 7, 8)
 class MilPlan:
     """``max_docs`` bounds the labelled documents learned from (least hash of the id).
 
-    They are dealt by hash of the id to ``tasks`` local models, on any number of cores.
+    They are dealt by hash of the id to ``tasks`` local models, on any number of cores. Among the
+    chosen features a share of at most ``false_share`` is expected to be there by chance.
     """
 
     max_docs: int = 40_000
     tasks: int = 8
-    min_docs: int = 4
-    least_z: float = 7.0
+    min_docs: int = 2
+    false_share: float = 0.8
     rounds: int = 6
     epochs: int = 10
     rate: float = 0.1
@@ -73,9 +74,15 @@ def _sigmoid(z: np.ndarray) -> np.ndarray:
     return 1.0 / (1.0 + np.exp(-np.clip(z, -30, 30)))
 
 
-def _learn(docs: list, start: np.ndarray, plan: MilPlan, seed: int) -> np.ndarray:
-    """A task's passes of AdaGrad over its documents, from the shared weights (last is the bias)."""
+def _learn(docs: list, start: np.ndarray, plan: MilPlan, seed: int) -> tuple:
+    """A task's passes of AdaGrad over its documents, from the shared weights (last is the bias).
+
+    Returns the change of the weights and in how many documents each feature was met.
+    """
     w = start.astype(np.float64)
+    met = np.bincount(np.concatenate([np.unique(d[1]) for d in docs]), minlength=len(w)).astype(
+        np.float32)
+    met[-1] = len(docs)
     square = np.full(len(w), 1e-6)
     rng = np.random.default_rng(seed)
     batch = 32
@@ -102,7 +109,7 @@ def _learn(docs: list, start: np.ndarray, plan: MilPlan, seed: int) -> np.ndarra
             g = slope.sum()
             square[-1] += g * g
             w[-1] += plan.rate * g / np.sqrt(square[-1])
-    return (w - start).astype(np.float32)
+    return (w - start).astype(np.float32), met
 
 
 class MilModel:
@@ -129,6 +136,21 @@ class MilModel:
         return pairs % size, pairs // size
 
 
+def _least(tenths: list, share: float) -> int:
+    """The lowest tenth of excess at which chance explains at most this share of what is chosen.
+
+    Chance brings a feature an excess of e with a probability below exp(-e), so of all tests it
+    brings tests * exp(-e); the step-up rule takes the lowest e where that is ``share`` of those
+    at least as extreme.
+    """
+    tests, chosen, least = sum(n for _, n in tenths), 0, 1 << 30
+    for tenth, n in sorted((t for t in tenths if t[0] is not None), reverse=True):
+        chosen += n
+        if tests * np.exp(-tenth / 10) <= share * chosen:
+            least = tenth
+    return int(least)
+
+
 def train(docs: DataFrame, labels: DataFrame, plan: MilPlan = MilPlan(), id_col: str = "doc_id",
           text_col: str = "text", label_col: str = "toxic") -> MilModel:
     """Learn word weights from document labels alone.
@@ -137,12 +159,15 @@ def train(docs: DataFrame, labels: DataFrame, plan: MilPlan = MilPlan(), id_col:
     of its sentences. At most ``plan.max_docs`` labelled documents (parameter; of those that are
     not held out, least hash of the id first) are read. A word, or the
     beginning of words (their first four to eight bytes), gets a weight if at least
-    ``plan.min_docs`` toxic documents hold it and their number is ``plan.least_z`` standard
-    deviations above chance, so labels, features and weights have bounded size and rare words do
-    not explain single documents away. ``plan.tasks`` shares, dealt by hash of the id and each
-    ordered by its content, train from common weights, and the mean of their models starts the next
-    round, so the model does not depend on cores or partitions. Documents without a label, and ids
-    that are NULL, teach nothing; an id with several labels counts as its largest.
+    ``plan.min_docs`` toxic documents hold it and more than chance would bring: of the features
+    chosen of a kind (words, or beginnings of one length) a share of at most ``plan.false_share`` is
+    expected to be there by chance. The chance is bounded by exp(-n KL(k / n, share)), which holds
+    for samples of any size, so few labels choose few features and many choose many.
+    ``plan.tasks`` shares, dealt by hash of the id and each ordered by its content, train from
+    common weights, and the mean of their models starts the next round (a feature's weight counts by
+    the documents that hold it), so the model does not depend on cores or partitions. Documents
+    without a label, and ids that are NULL, teach nothing; an id with several labels counts as its
+    largest.
     """
     spark = docs.sparkSession
     chosen = (labels.select(F.col(id_col).alias("l_id"), F.col(label_col).alias("y"))
@@ -162,24 +187,34 @@ def train(docs: DataFrame, labels: DataFrame, plan: MilPlan = MilPlan(), id_col:
             for first, last, data, bounds in text_slices(batch.column(1)):
                 starts, ends, *_ = _sentences(data, bounds)
                 doc = np.searchsorted(bounds, starts, side="right") - 1
-                for hashes, words in _features(data, starts, ends):
+                for kind, (hashes, words) in enumerate(_features(data, starts, ends)):
                     order = np.lexsort((hashes, doc[words]))
                     h, d = hashes[order], doc[words][order]
                     new = np.ones(len(h), dtype=bool)
                     new[1:] = (h[1:] != h[:-1]) | (d[1:] != d[:-1])
                     yield pa.RecordBatch.from_arrays(
-                        [pa.array(h[new].view(np.int64)), pa.array(label[first + d[new]])],
-                        ["w", "y"])
+                        [pa.array(h[new].view(np.int64)), pa.array(label[first + d[new]]),
+                         pa.array(np.full(int(new.sum()), kind, dtype=np.int32))],
+                        ["w", "y", "kind"])
 
     held, toxic = sample.agg(F.count(F.lit(1)), F.sum("y")).first()
     share = (toxic or 0) / max(held, 1)
-    above = F.col("toxic") - F.col("docs") * share
-    chosen_words = (
-        sample.mapInArrow(distinct, "w bigint, y int").groupBy("w")
+    counted = materialize(
+        sample.mapInArrow(distinct, "w bigint, y int, kind int").groupBy("kind", "w")
         .agg(F.count(F.lit(1)).alias("docs"), F.sum("y").alias("toxic"))
-        .where((F.col("toxic") >= plan.min_docs)
-               & (above >= plan.least_z * F.sqrt(F.col("docs") * (share * (1 - share)))))
-        .orderBy("w").collect())
+        .where(F.col("docs") >= plan.min_docs), "mil-features")
+    held_share = F.col("toxic") / F.col("docs")
+    # n KL(k / n, share), of which the term without toxic documents is 0 where all are toxic
+    excess = F.col("toxic") * F.ln(held_share / share) + F.when(
+        F.col("toxic") < F.col("docs"), (F.col("docs") - F.col("toxic"))
+        * F.ln((1 - held_share) / (1 - share))).otherwise(0.0) if 0 < share < 1 else F.lit(-1.0)
+    rated = counted.withColumn("tenth", F.when(
+        (F.col("toxic") >= plan.min_docs) & (held_share > share), F.floor(excess * 10)))
+    tenths = rated.groupBy("kind", "tenth").agg(F.count(F.lit(1)).alias("n")).collect()
+    least = F.create_map(*[F.lit(x) for kind in range(len(PREFIXES) + 1) for x in (
+        kind, _least([(r["tenth"], r["n"]) for r in tenths if r["kind"] == kind],
+                     plan.false_share))])
+    chosen_words = rated.where(F.col("tenth") >= least[F.col("kind")]).orderBy("w").collect()
     features = np.array([r["w"] for r in chosen_words], dtype=np.int64).view(_U)
     n, n1 = (np.array([r[c] for r in chosen_words], dtype=np.float64) for c in ("docs", "toxic"))
     order = np.argsort(features)
@@ -215,16 +250,17 @@ def train(docs: DataFrame, labels: DataFrame, plan: MilPlan = MilPlan(), id_col:
                 "key", "y", "feature", "sentence", "n"))))  # not as the shuffle brought them
             docs = [(y, *(np.frombuffer(x, dtype=np.int32).astype(np.int64)
                           for x in (found, sentence)), n) for _, y, found, sentence, n in rows]
-            changed = _learn(docs, model.weights, plan, turn)
-            return pd.DataFrame({"task": group["task"].iloc[:1], "docs": [len(docs)],
-                                 "delta": [changed.tobytes()]})
+            changed, met = _learn(docs, model.weights, plan, turn)
+            return pd.DataFrame({"task": group["task"].iloc[:1], "delta": [changed.tobytes()],
+                                 "met": [met.tobytes()]})
 
         steps = sorted(bags.groupBy("task").applyInPandas(
-            update, "task int, docs bigint, delta binary").collect())  # a row a task
+            update, "task int, delta binary, met binary").collect())  # a row a task
         if not steps:
             break
-        step = sum(r["docs"] * np.frombuffer(r["delta"], dtype=np.float32).astype(np.float64)
-                   for r in steps) / sum(r["docs"] for r in steps)
+        delta, met = (np.array([np.frombuffer(r[c], dtype=np.float32) for r in steps],
+                               dtype=np.float64) for c in ("delta", "met"))
+        step = (delta * met).sum(axis=0) / np.maximum(met.sum(axis=0), 1)
         model = MilModel(model.features, (model.weights + step).astype(np.float32))
     return model
 
