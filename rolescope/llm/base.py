@@ -26,6 +26,14 @@ def documents(spark: SparkSession, sf_dir: str, name: str = "documents") -> Data
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def fresh(df: DataFrame, name: str) -> str:
+    """The name, with as many underscores behind as keep it apart from the table's columns."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def materialize(df: DataFrame, name: str, partitions: tuple[str, ...] = ()) -> DataFrame:
     """Write to the shared scratch folder and read back: cuts the lineage, survives lost executors."""
     spark = df.sparkSession
@@ -133,6 +141,7 @@ def text_slices(column: pa.Array, limit: int = SLICE_BYTES):
         yield first, last, data[offsets[first]:offsets[last]], \
             offsets[first:last + 1] - offsets[first]
         first = last
+    pa.default_memory_pool().release_unused()  # workers outlive their tasks
 
 
 def rolling(words: np.ndarray, n: int) -> np.ndarray:

@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rolescope.llm.base import materialize
+from rolescope.llm.base import fresh, materialize
 
 HASH_BITS = 128
 
@@ -82,10 +82,11 @@ def drop_exact(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     stays = F.col("kept")
     if without_id:
         stays = stays | F.col("keep_id").isNull()
-    stay = groups.where(stays).select(F.col(id_col).alias("__keep"),
-                                      F.col("text_sha256").alias("__sha")).distinct()
+    stay = groups.where(stays).select(F.col(id_col).alias("stay_id"),
+                                      F.col("text_sha256").alias("stay_sha")).distinct()
     folded = F.translate(F.coalesce(F.col(text_col), F.lit("")), ascii_uppercase, ascii_lowercase)
-    own = docs.withColumn("__digest", F.sha2(folded, 256))
-    kept = own.join(stay, own[id_col].eqNullSafe(F.col("__keep"))
-                    & (F.col("__digest") == F.col("__sha")), "left_semi")
-    return kept.dropDuplicates([id_col, "__digest"]).drop("__digest")
+    digest = fresh(docs, "digest")
+    own = docs.withColumn(digest, F.sha2(folded, 256))
+    kept = own.join(stay, own[id_col].eqNullSafe(stay["stay_id"])
+                    & (own[digest] == stay["stay_sha"]), "left_semi")
+    return kept.dropDuplicates([id_col, digest]).drop(digest)

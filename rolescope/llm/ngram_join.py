@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from rolescope.llm.base import (components, hash_words, local_roots, materialize, mix, rolling,
+from rolescope.llm.base import (components, fresh, hash_words, local_roots, materialize, mix, rolling,
                                 text_slices)
 
 _U = np.uint64
@@ -334,10 +334,19 @@ def drop_near(docs: DataFrame, plan: ForestPlan = ForestPlan(), id_col: str = "d
               text_col: str = "text") -> DataFrame:
     """One document of each group of linked ones: the smallest id. Keeps all columns.
 
-    A row with a NULL id is kept only if its text is linked to no row that has an id.
+    A row is known by its id and a 64-bit hash of its text: rows that share an id are linked by
+    what each of them says, and the same text under the same id stays once. NULL ids come after all
+    others, so such a row is kept only if its text is linked to no row that has an id, and of linked
+    rows without id one is kept. Texts without a word are linked to nothing and stay. An empty table
+    gives no rows.
     """
-    linked = ngram_links(docs, plan, id_col, text_col)
-    stay = linked.where(F.col(id_col).eqNullSafe(F.col("group_id"))).select(
-        F.col(id_col).alias("__id")).distinct()
-    return docs.join(stay, docs[id_col].eqNullSafe(F.col("__id")), "left_semi") \
-        .dropDuplicates([id_col, text_col])
+    row = F.struct(F.col(id_col).isNull().alias("missing"), F.col(id_col).alias("id"),
+                   F.xxhash64(text_col).alias("digest"))
+    linked = ngram_links(docs.select(row.alias("id"), F.col(text_col).alias("text")), plan, "id")
+    stay = linked.where(F.col("id").eqNullSafe(F.col("group_id"))).select(
+        F.col("id.id").alias("stay_id"), F.col("id.digest").alias("stay_digest")).distinct()
+    digest = fresh(docs, "digest")
+    own = docs.withColumn(digest, F.xxhash64(text_col))
+    return own.join(stay, own[id_col].eqNullSafe(stay["stay_id"])
+                    & (own[digest] == stay["stay_digest"]), "left_semi") \
+        .dropDuplicates([id_col, digest]).drop(digest)

@@ -265,6 +265,29 @@ def train(docs: DataFrame, labels: DataFrame, plan: MilPlan = MilPlan(), id_col:
     return model
 
 
+def drop_predicted(docs: DataFrame, model: MilModel, plan: MilPlan = MilPlan(),
+                   text_col: str = "text") -> DataFrame:
+    """The rows that are not predicted, unchanged: each is judged by its own text, in one pass.
+
+    Nothing is joined, so NULL and repeated ids need no rule. NULL and empty texts stay.
+    """
+    at = docs.columns.index(text_col)
+    weights = model.weights[:-1].astype(np.float64)
+    bias = float(model.weights[-1])
+
+    def run(batches):
+        for batch in batches:
+            keep = np.ones(batch.num_rows, dtype=bool)
+            for first, last, data, bounds in text_slices(batch.column(at)):
+                starts, ends, sentence, doc = _sentences(data, bounds)
+                found, own = model.find(data, starts, ends, sentence)
+                p = _sigmoid(np.bincount(own, weights=weights[found], minlength=len(doc)) + bias)
+                keep[first:last] = -np.expm1(_noisy_or(p, doc, last - first)) < plan.threshold
+            yield batch.filter(pa.array(keep))
+
+    return docs.mapInArrow(run, docs.schema)
+
+
 def score(docs: DataFrame, model: MilModel, plan: MilPlan = MilPlan(), id_col: str = "doc_id",
           text_col: str = "text") -> DataFrame:
     """``id, score, predicted, offending`` for every row, in one pass without a shuffle.

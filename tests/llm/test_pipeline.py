@@ -1,11 +1,15 @@
 from __future__ import annotations
 
+import random
+from collections import Counter
+
 import pytest
 from tokenizers import Tokenizer
 
 import corpus_pipeline
 from rolescope.llm.queries import TOKENIZER
 
+from .conftest import text
 from .test_ngram_join import shingle_set
 from .test_packing import check
 
@@ -65,3 +69,67 @@ def test_packing_and_run(spark, staged, sf_dir):
     source = [(r["doc_id"], r["text"], None) for r in staged[4].collect()]
     check(staged[5].collect(), source, Tokenizer.from_file(TOKENIZER), 4096)
     assert corpus_pipeline.run(spark, sf_dir).count() == staged[5].count()
+
+
+CLASHING = ("doc_id bigint, text string, lang string, source string, n_chars bigint, "
+            "position double, digest string, plan int, copy int, id string, plan_id int, key int")
+
+
+def odd_rows():
+    """(id, text): NULL and repeated ids, near and exact copies of both, empty and NULL texts."""
+    rng = random.Random(4)
+    a, b, c, d = (text(rng, 60) for _ in range(4))
+    near = " ".join([*a.split()[:-1], "changed"])
+    return [(1, a), (1, b), (2, near), (None, near), (None, a.upper()), (None, c), (None, c + " x"),
+            (3, d), (3, d), (4, ""), (5, None), (None, ""), (6, "one two"), (7, "one two"),
+            (8, " ".join([*b.split()[:-1], "other"]))]
+
+
+@pytest.fixture(scope="module")
+def odd(spark):
+    rows = [(i, t, "en", "s1", 1, 0.5, "d", 1, 2, "x", 3, 4) for i, t in odd_rows()]
+    return spark.createDataFrame(rows, CLASHING).repartition(3)
+
+
+def pairs(df):
+    return sorted(((r["doc_id"], r["text"]) for r in df.collect()), key=repr)
+
+
+def test_toxicity_stage_judges_rows_by_their_texts(spark, odd, sf_dir):
+    kept = corpus_pipeline.drop_toxic(spark, odd, sf_dir)
+    assert kept.columns == odd.columns and pairs(kept) == sorted(odd_rows(), key=repr)
+
+
+def test_exact_stage_on_odd_rows(spark, odd, sf_dir):
+    kept = corpus_pipeline.drop_copies(spark, odd, sf_dir)
+    assert kept.columns == odd.columns
+    texts = {(t or "").lower() for _, t in odd_rows()}
+    assert sorted((t or "").lower() for _, t in pairs(kept)) == sorted(texts)
+    assert {1: 2, 2: 1, 3: 1, 4: 1, 6: 1, 8: 1, None: 2} == Counter(i for i, _ in pairs(kept))
+
+
+def test_near_stage_on_odd_rows(spark, odd, sf_dir):
+    kept = corpus_pipeline.drop_near_copies(spark, odd, sf_dir)
+    assert kept.columns == odd.columns
+    rows = odd_rows()
+    # of the copies of `a` and of `b` the smallest ids stay, also under a shared id; of the two
+    # texts without any id that are linked to each other one stays; wordless texts all stay
+    got = pairs(kept)
+    assert [r for r in got if r[0] == 1] == sorted([rows[0], rows[1]], key=repr)
+    assert not any(r[0] in (2, 8) for r in got)
+    nameless = [t for i, t in got if i is None and t]
+    assert len(nameless) == 1 and nameless[0] in (rows[5][1], rows[6][1])
+    assert [r for r in got if r[0] == 3] == [rows[7]]
+    assert {(4, ""), (5, None), (None, "")} <= set(got)
+    assert sum(t == "one two" for _, t in got) == 1
+
+
+def test_mixing_stage_keeps_a_column_named_position(spark, odd, sf_dir):
+    mixed = corpus_pipeline.mix_sources(spark, odd, sf_dir)
+    assert mixed.columns == odd.columns
+    assert {r["position"] for r in mixed.collect()} == {0.5}
+
+
+def test_stages_on_an_empty_table(spark, odd, sf_dir):
+    for _, stage in corpus_pipeline.STAGES:
+        assert stage(spark, odd.limit(0), sf_dir).count() == 0
