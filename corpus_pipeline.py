@@ -5,7 +5,6 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from rolescope.llm import toxicity
 from rolescope.llm.base import documents, materialize
@@ -21,33 +20,40 @@ Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the classifier does not reject.
 
-    It learns from the labels that are not held out, and scores every document. Rows that share an
-    id are judged together: the id goes if any of its texts is rejected. Rows without id stay.
+    It learns from the labels that are not held out, and judges every row by its own text, whatever
+    its id. NULL and empty texts stay.
     """
-    model = toxicity.train(docs, documents(spark, sf_dir, "labels"))
-    rejected = toxicity.score(docs, model).where("predicted = 1").select(
-        F.col("doc_id").alias("__id")).distinct()
-    return docs.join(rejected, docs["doc_id"] == rejected["__id"], "left_anti")
+    return toxicity.drop_predicted(docs, toxicity.train(docs, documents(spark, sf_dir, "labels")))
 
 
 def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of equal texts (the smallest id, a row without id if none has)."""
+    """One document of each group of equal texts (the smallest id, a row without id if none has).
+
+    NULL is an empty text. Different texts that share an id stay each.
+    """
     return drop_exact(docs, without_id=True)
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group linked by n-gram similarity (the smallest id)."""
+    """One document of each group linked by n-gram similarity (the smallest id, NULL last).
+
+    Texts without a word are linked to nothing and stay; rows that share an id are told apart by
+    their texts.
+    """
     return drop_near(docs)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """As many copies of each document as the mix takes, in training order."""
-    columns = docs.columns
-    return mix(docs).select(*columns)
+    """As many copies of each document as the mix takes, in training order.
+
+    Rows that share an id, or have none, take the copies of the first of them. The columns stay as
+    they are, also one named ``position``.
+    """
+    return mix(docs).select(*docs.columns)
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Every piece of every copy with its sequence and its place there."""
+    """Every piece of every copy with its sequence and its place there (see ``pack``)."""
     return pack(docs, TOKENIZER)
 
 
