@@ -55,8 +55,7 @@ def per_column_forms(spark) -> dict[str, float]:
 def fits(spark) -> tuple[dict[str, float], dict]:
     spec = views.WIDE_MODEL
     started = time.perf_counter()
-    result = train.train_and_evaluate(views.wide_model_rows(spark, SF_DIR), spec, spec.roles.id,
-                                      partitions=int(CPUS))
+    result = train.train_and_evaluate(views.wide_model_rows(spark, SF_DIR), spec, spec.roles.id)
     total = time.perf_counter() - started
     width = next(iter(result.models.values())).stages[-1].numFeatures
     result.release()

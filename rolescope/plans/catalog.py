@@ -614,14 +614,10 @@ def best_model(spark, d):
 
 # ---- trained models -------------------------------------------------------------------------
 
-# Tasks that training rows are dealt to; fixed, so that forests do not depend on the cluster.
-TRAIN_PARTITIONS = 8
-
-
 def _metrics(spark, d, name):
     """What a fit must satisfy whatever it has learned: sizes, class supports, gates, ranges."""
     trained = train.train_and_evaluate(views.model_rows(spark, d), MODEL, MODEL.roles.id,
-                                       {name: {}}, partitions=TRAIN_PARTITIONS)
+                                       {name: {}})
     m = trained.comparison().first()
     classes = {r["class"]: r for r in trained.per_class().collect()}
     row = (name, trained.train_rows, trained.test_rows, trained.unlabelled,
@@ -656,8 +652,7 @@ def ml_forest(spark, d):
 
 def _scored(spark, d):
     """All rows scored by a model that went through its saved form."""
-    fitted = train.train_only(views.model_rows(spark, d), MODEL, MODEL.roles.id, {SCORED_AS: {}},
-                              partitions=TRAIN_PARTITIONS)
+    fitted = train.train_only(views.model_rows(spark, d), MODEL, MODEL.roles.id, {SCORED_AS: {}})
     path = scratch_path(spark, "model")
     models.save_model(fitted[SCORED_AS], path)
     return score.score(views.model_rows(spark, d), models.load_model(path), MODEL,

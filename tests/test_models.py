@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import shutil
+
 import pytest
 from conftest import rows
 from pyspark.ml.evaluation import MulticlassClassificationEvaluator
@@ -132,7 +134,8 @@ def test_rows_without_a_listed_label_are_left_out(table):
     assert result.unlabelled == 400 and result.train_rows + result.test_rows == 1600
     report = result.gate_report().collect()
     assert {r["check"] for r in report} == {
-        "train_plus_test", "models_present", "predictions_cover_test:Decision Tree"}
+        "rows_reach_the_fits", "train_plus_test", "models_present",
+        "predictions_cover_test:Decision Tree"}
     assert all(r["passed"] for r in report)
     result.release()
 
@@ -220,3 +223,27 @@ def test_unseen_category_is_scored(trained, table):
     odd = table.limit(3).withColumn("place", F.lit("nowhere"))
     got = score.score(odd, trained.models["Logistic Regression"], SPEC, ("id",))
     assert got.where("predicted_class IS NOT NULL").count() == 3
+
+
+def test_the_source_is_read_once_a_fit(spark, table, tmp_path, monkeypatch):
+    """The source is gone as soon as the training table is written; all that follows still runs."""
+    path = tmp_path / "source"
+    table.write.parquet(str(path))
+    made = train.training_table
+
+    def and_drop_the_source(*args):
+        found = made(*args)
+        shutil.rmtree(path)
+        return found
+
+    monkeypatch.setattr(train, "training_table", and_drop_the_source)
+    result = train.train_and_evaluate(spark.read.parquet(str(path)), SPEC, ("id",),
+                                      {"Decision Tree": {"maxDepth": 3}})
+    assert result.train_rows + result.test_rows == 2000 and not path.exists()
+    assert all(r["passed"] for r in result.gate_report().collect())
+    result.release()
+
+
+def test_tasks_follow_the_rows():
+    assert [train.tasks_for(n) for n in (0, 1, train.ROWS_PER_TASK, train.ROWS_PER_TASK + 1)] \
+        == [1, 1, 1, 2]
