@@ -452,6 +452,22 @@ def footprint(spark, d):
     return tables.footprint(spark, f"{d.rstrip('/')}/lineitem.parquet")
 
 
+@query
+def input_guard(spark, d):
+    """A report on a guarded copy, and whether a second copy beside it is noticed."""
+    path = scratch_path(spark, "guarded")
+    tables.write_parquet(views.table(spark, d, "orders"), path)
+    with tables.unchanged(spark, path) as before:
+        found = distribution(tables.read_parquet(spark, path), "o_orderstatus").select(
+            "o_orderstatus", "cnt")
+        same = tables.changed_files(before, tables.manifest(spark, path)).count()
+    tables.write_parquet(views.table(spark, d, "orders"), path + "-again")
+    moved = tables.changed_files(before, tables.manifest(spark, path, path + "-again")).count()
+    return views.orders(spark, d).groupBy("o_orderstatus").count().join(
+        found, "o_orderstatus").select("o_orderstatus", "cnt", F.lit(same == 0).alias("unchanged"),
+                                       F.lit(moved > 0).alias("noticed"))
+
+
 @query
 def line_reconciliation(spark, d):
     source = views.table(spark, d, "lineitem")

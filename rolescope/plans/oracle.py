@@ -120,6 +120,9 @@ FROM ({ORDERS})"""
 ORACLE["preview"] = f"""
 SELECT o_orderkey, o_orderstatus, o_totalprice, class FROM ({ORDERS})
 ORDER BY o_orderkey LIMIT 5"""
+ORACLE["input_guard"] = """
+SELECT o_orderstatus, COUNT(*) AS cnt, true AS unchanged, true AS noticed
+FROM orders GROUP BY o_orderstatus"""
 ORACLE["table_fingerprint"] = (
     "SELECT COUNT(*) AS n, CAST(SUM(l_orderkey) AS BIGINT) AS key_sum, "
     + ", ".join(f"{p.upper()}({c}) AS {p}_{c}" for c in ("l_quantity", "l_extendedprice", "l_tax")

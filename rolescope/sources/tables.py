@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
+
 from py4j.protocol import Py4JJavaError
 from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -12,6 +15,7 @@ from rolescope.functions.columns import n_rows, ref
 from rolescope.operators.profile import content_fingerprint
 from rolescope.operators.quality import (Check, expect_columns, expect_rows, expect_type,
                                          parse_audit, quality_report, require)
+from rolescope.session import scratch_path
 
 # Timestamp text, with and without fractional seconds.
 STRICT_TIME = "yyyy-MM-dd HH:mm:ss"
@@ -96,6 +100,58 @@ def footprint(spark: SparkSession, path: str) -> DataFrame:
                      F.coalesce(F.sum("length"), F.lit(0)).alias("bytes"))
 
 
+def manifest(spark: SparkSession, *paths: str) -> DataFrame:
+    """``file, bytes, modified`` of every file under the paths, on any file system.
+
+    The values are Spark's hidden file metadata, which come from listing: no file is opened, so it
+    costs the same whatever the files hold.
+    """
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(list(paths))
+    return files.select(
+        F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_size").alias("bytes"),
+        F.col("_metadata.file_modification_time").alias("modified"))
+
+
+def manifest_digest(files: DataFrame) -> DataFrame:
+    """``files, bytes, digest``: one row that differs if a file came, went or was written again.
+
+    A file rewritten with the same size has another modification time. Hashes are summed, so files
+    may be listed in any order.
+    """
+    return files.agg(
+        n_rows().alias("files"), F.coalesce(F.sum("bytes"), F.lit(0)).alias("bytes"),
+        F.coalesce(F.sum(F.xxhash64("file", "bytes", "modified").cast("decimal(38,0)")),
+                   F.lit(0).cast("decimal(38,0)")).alias("digest"))
+
+
+@contextmanager
+def unchanged(spark: SparkSession, *paths: str) -> Iterator[DataFrame]:
+    """Raise if a file under the paths is added, removed or rewritten inside the ``with``.
+
+    Gives the manifest of before, kept in the shared scratch folder, so that the error can name the
+    files that differ.
+    """
+    kept = scratch_path(spark, "manifest")
+    manifest(spark, *paths).write.parquet(kept)
+    before = read_parquet(spark, kept)
+    yield before
+    after = manifest(spark, *paths)
+    if manifest_digest(after).first() != manifest_digest(before).first():
+        odd = changed_files(before, after)
+        named = ", ".join(f"{r['file']} ({r['change']})" for r in odd.orderBy("file").head(5))
+        raise RuntimeError(f"input changed meanwhile: {named}")
+
+
+def changed_files(before: DataFrame, after: DataFrame) -> DataFrame:
+    """``file, change``: what differs between two manifests (added, removed or rewritten)."""
+    old = before.select("file", F.struct("bytes", "modified").alias("was"))
+    new = after.select("file", F.struct("bytes", "modified").alias("is"))
+    change = (F.when(F.col("was").isNull(), "added").when(F.col("is").isNull(), "removed")
+              .when(F.col("was") != F.col("is"), "rewritten"))
+    return old.join(new, "file", "full").select("file", change.alias("change")) \
+        .where(F.col("change").isNotNull())
+
+
 def line_reconciliation(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
     """``parsed_rows, data_lines, difference``.
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import os
+
 import pytest
 from conftest import rows
 from pyspark.sql import functions as F
@@ -203,3 +205,33 @@ def test_ingest_smoke_expectations(spark, csv):
         quality.expect_some_values("Humidity(%)"), quality.expect_both_flags("flag"),
         quality.expect_no_nulls("start")])
     assert [r["passed"] for r in report.collect()] == [True, True, True, True, False]
+
+
+def test_manifest_reads_no_file(spark, tmp_path):
+    """A file that cannot be read as anything is listed all the same."""
+    (tmp_path / "a.parquet").write_bytes(b"not parquet")
+    (tmp_path / "sub").mkdir()
+    (tmp_path / "sub" / "b").write_bytes(b"12345")
+    files = tables.manifest(spark, str(tmp_path))
+    assert sorted((r["file"].rsplit("/", 1)[1], r["bytes"]) for r in files.collect()) == [
+        ("a.parquet", 11), ("b", 5)]
+    assert "content" not in files._jdf.queryExecution().executedPlan().toString().split(
+        "ReadSchema")[1]
+
+
+@pytest.mark.parametrize("change", ["rewritten", "added", "removed"])
+def test_guard_names_what_changed(spark, tmp_path, change):
+    paths = [tmp_path / n for n in ("x.csv", "y.csv")]
+    for p in paths:
+        p.write_text("id\n1\n")
+        os.utime(p, (1_600_000_000, 1_600_000_000))
+    with tables.unchanged(spark, str(tmp_path)):
+        assert spark.read.csv(str(tmp_path)).count() == 4
+    with pytest.raises(RuntimeError, match=rf"y\d?.csv \({change}\)"):
+        with tables.unchanged(spark, str(tmp_path)):
+            if change == "rewritten":
+                paths[1].write_text("id\n2\n")  # of the same size
+            elif change == "added":
+                (tmp_path / "y2.csv").write_text("id\n")
+            else:
+                paths[1].unlink()
