@@ -8,7 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rolescope.operators import (anomalies, buckets, crosstab, evaluate, features, profile,
-                                 quality, ranking, score, split, summary, temporal, train)
+                                 quality, quantiles, ranking, score, split, summary, temporal,
+                                 train)
 from rolescope.operators.anomalies import Rule
 from rolescope.operators.counts import distribution
 from rolescope.plans import sqlreports, views
@@ -380,6 +381,29 @@ def threshold_ladder(spark, d):
     return anomalies.threshold_ladder(views.lines(spark, d), LADDER)
 
 
+@query
+def sketched_medians(spark, d):
+    """Medians by class and of all rows from stored sketches, held against the rows' true ranks."""
+    price = F.col("o_totalprice")
+    df = views.orders(spark, d)
+    path = scratch_path(spark, "sketches")
+    quantiles.sketches(df, {"o_totalprice": price}, {
+        "class": F.col("class"), "status": F.col("o_orderstatus")}).write.parquet(path)
+    stored = spark.read.parquet(path)
+    by_class = quantiles.sketched_quantile(stored, ("class",))
+    every = quantiles.sketched_quantile(stored).select(F.lit(0).alias("class"), "column", "cnt",
+                                                       "value")
+    found = every.unionByName(by_class).select(F.col("class").alias("of"), "value")
+    rows = df.select(F.explode(F.array(F.lit(0), F.col("class"))).alias("class"),
+                     price.alias("price"))
+    low, high = (F.count_if(c) / F.count("price") for c in (
+        F.col("price") < F.col("value"), F.col("price") <= F.col("value")))
+    error = quantiles.SKETCH_ERROR
+    return rows.join(found, F.col("class") == F.col("of")).groupBy("class").agg(
+        F.count("price").alias("cnt"),
+        ((low <= 0.5 + error) & (high >= 0.5 - error)).alias("within_error"))
+
+
 @query
 def paired_missingness(spark, d):
     return anomalies.paired_missingness(views.lines(spark, d), {

@@ -120,6 +120,9 @@ FROM ({ORDERS})"""
 ORACLE["preview"] = f"""
 SELECT o_orderkey, o_orderstatus, o_totalprice, class FROM ({ORDERS})
 ORDER BY o_orderkey LIMIT 5"""
+ORACLE["sketched_medians"] = f"""
+SELECT class, COUNT(o_totalprice) AS cnt, true AS within_error
+FROM (SELECT unnest([0, class]) AS class, o_totalprice FROM ({ORDERS})) GROUP BY class"""
 ORACLE["input_guard"] = """
 SELECT o_orderstatus, COUNT(*) AS cnt, true AS unchanged, true AS noticed
 FROM orders GROUP BY o_orderstatus"""

@@ -357,3 +357,25 @@ def test_exact_summary_of_nothing(spark):
     df = spark.createDataFrame([(1, None), (2, 3.0)], "g int, v double")
     got = rows(quantiles.exact_summary(df, {"v": F.col("v")}, F.col("g")).orderBy("group"))
     assert got == [("v", 1, 1, 0, None, None, None, None), ("v", 2, 1, 1, 3.0, 3.0, 3.0, 3.0)]
+
+
+def test_sketches_merge_without_the_rows(spark, tmp_path):
+    df = spark.range(60_000).select(
+        (F.col("id") * 7919 % 60_000).cast("double").alias("v"), (F.col("id") % 3).alias("day"),
+        F.when(F.col("id") % 2 == 0, "a").alias("g"), F.lit(None).cast("double").alias("none"))
+    columns = {"v": F.col("v"), "none": F.col("none")}
+    path = str(tmp_path / "stored")
+    quantiles.sketches(df, columns, {"day": F.col("day"), "g": F.col("g")}).write.parquet(path)
+    stored = spark.read.parquet(path)
+    assert stored.count() == 2 * 3 * 2
+    got = {(r["g"], r["column"]): (r["cnt"], r["value"])
+           for r in quantiles.sketched_quantile(stored, ("g",), 0.9).collect()}
+    assert got["a", "none"] == (0, None) == got[None, "none"]
+    for g, odd in (("a", 0), (None, 1)):
+        mine = sorted(i * 7919 % 60_000 for i in range(odd, 60_000, 2))
+        n, value = got[g, "v"]
+        assert n == 30_000
+        assert abs(sum(v <= value for v in mine) / n - 0.9) <= quantiles.SKETCH_ERROR
+    total = quantiles.sketched_quantile(stored.where("day < 2")).collect()
+    assert {r["column"]: r["cnt"] for r in total} == {"v": 40_000, "none": 0}
+    assert quantiles.sketched_quantile(stored.limit(0)).count() == 0
