@@ -136,23 +136,30 @@ numbered AS (SELECT key, unnest(range(len(lines))) AS line_no, unnest(lines) AS
 tokens AS (SELECT key, line_no, [CASE WHEN regexp_matches(w, '[0-9]') THEN '<*>' ELSE w END
                FOR w IN string_split_regex(line, '[ \t\r\f\x0B]+') IF w <> ''] AS tokens
            FROM numbered),
-leaves AS (SELECT *, concat_ws(' ', len(tokens), array_to_string(tokens[1:3], ' ')) AS leaf
+leaves AS (SELECT *, concat_ws(' ', len(tokens), array_to_string(tokens[1:3], ' ')) AS leaf,
+                  array_to_string(tokens, ' ') AS seq
            FROM tokens WHERE len(tokens) > 0),
-met AS (SELECT * FROM leaves WHERE leaf IN
-        (SELECT leaf FROM leaves GROUP BY leaf HAVING count(DISTINCT key) >= 5)),
-fields AS (SELECT leaf, unnest(range(len(tokens))) AS pos, unnest(tokens) AS token FROM met),
-counts AS (SELECT leaf, pos, token, count(*) AS c FROM fields GROUP BY ALL),
-top AS (SELECT leaf, pos, token, c, sum(c) OVER (PARTITION BY leaf, pos) AS lines,
-               row_number() OVER (PARTITION BY leaf, pos ORDER BY c DESC, token DESC) AS r
+kinds AS (SELECT leaf, seq, any_value(tokens[4:]) AS tail, count(DISTINCT key) AS texts
+          FROM leaves GROUP BY leaf, seq),
+tails AS (SELECT leaf, seq, tail, CASE WHEN count(*) OVER (PARTITION BY leaf, tail[1]) >= 5
+                 THEN tail[1] ELSE '' END AS branch FROM kinds WHERE len(tail) > 0),
+placed AS (SELECT leaf, branch, seq, len(tail) AS n, unnest(range(len(tail))) AS pos,
+                  unnest(tail) AS token FROM tails),
+counts AS (SELECT leaf, branch, pos, token, count(*) AS c FROM placed GROUP BY ALL),
+top AS (SELECT leaf, branch, pos, token, c, sum(c) OVER (PARTITION BY leaf, branch, pos) AS lines,
+               row_number() OVER (PARTITION BY leaf, branch, pos ORDER BY c DESC, token DESC) AS r
         FROM counts),
-fixed AS (SELECT leaf, pos, token FROM top WHERE r = 1 AND c >= 0.5 * lines),
-placed AS (SELECT leaf, key, line_no, len(tokens) AS n, unnest(range(len(tokens))) AS pos,
-                  unnest(tokens) AS token FROM met),
-follow AS (SELECT p.leaf, p.key, p.line_no FROM placed p LEFT JOIN fixed f
-           ON p.leaf = f.leaf AND p.pos = f.pos AND p.token = f.token
-           GROUP BY p.leaf, p.key, p.line_no, p.n HAVING count(f.pos) >= 0.6 * p.n),
-gone AS (SELECT key, list(line_no) AS gone FROM follow WHERE leaf IN
-         (SELECT leaf FROM follow GROUP BY leaf HAVING count(DISTINCT key) >= 5) GROUP BY key),
+fixed AS (SELECT leaf, branch, pos, token FROM top WHERE r = 1 AND c > 1 AND c >= 0.5 * lines),
+follow AS (SELECT p.leaf, p.branch, p.seq FROM placed p LEFT JOIN fixed f
+           ON p.leaf = f.leaf AND p.branch = f.branch AND p.pos = f.pos AND p.token = f.token
+           GROUP BY p.leaf, p.branch, p.seq, p.n
+           HAVING count(f.pos) >= 0.6::DOUBLE * p.n),
+recurring AS (SELECT f.leaf, f.branch FROM follow f JOIN leaves l USING (seq)
+              GROUP BY f.leaf, f.branch HAVING count(DISTINCT l.key) >= 5),
+goes AS (SELECT seq FROM kinds WHERE texts >= 5
+         UNION SELECT seq FROM follow JOIN recurring USING (leaf, branch)),
+gone AS (SELECT key, list(line_no) AS gone FROM leaves WHERE seq IN (SELECT seq FROM goes)
+         GROUP BY key),
 joined AS (SELECT t.doc_id, string_split(t.text, chr(10)) AS lines, coalesce(g.gone, []) AS gone
            FROM t LEFT JOIN gone g USING (key))
 SELECT doc_id, len(lines) AS n_lines, len(gone) AS n_dropped,

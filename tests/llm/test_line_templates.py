@@ -15,22 +15,28 @@ def brute(rows, min_docs=5):
             words = [w for w in re.split(r"[ \t\r\f\x0B]+", line) if w]
             if words:
                 lines[t or "", n] = ["<*>" if re.search("[0-9]", w) else w for w in words]
-    leaves = defaultdict(list)
-    for (t, n), tokens in lines.items():
-        leaves[(len(tokens), *tokens[:3])].append((t, n, tokens))
-    gone = set()
-    for members in leaves.values():
-        if len({t for t, _, _ in members}) < min_docs:
-            continue
-        fixed = {}
-        for pos in range(len(members[0][2])):
-            count, token = max((c, w) for w, c in Counter(m[2][pos] for m in members).items())
-            if count >= 0.5 * len(members):
-                fixed[pos] = token
-        follow = [(t, n) for t, n, tokens in members
-                  if sum(tokens[p] == w for p, w in fixed.items()) >= 0.6 * len(tokens)]
-        if len({t for t, _ in follow}) >= min_docs:
-            gone |= set(follow)
+    texts, leaves = defaultdict(set), defaultdict(set)
+    for (t, _), tokens in lines.items():
+        texts[tuple(tokens)].add(t)
+        leaves[(len(tokens), *tokens[:3])].add(tuple(tokens))
+    goes = {kind for kind, found in texts.items() if len(found) >= min_docs}
+    for kinds in leaves.values():
+        heads = Counter(kind[3:4] for kind in kinds)
+        branches = defaultdict(list)
+        for kind in kinds:
+            if len(kind) > 3:
+                branches[kind[3] if heads[kind[3:4]] >= min_docs else None].append(kind)
+        for members in branches.values():
+            fixed = {}
+            for pos in range(3, len(members[0])):
+                count, token = max((c, w) for w, c in Counter(m[pos] for m in members).items())
+                if count >= 0.5 * len(members) and count > 1:
+                    fixed[pos] = token
+            follow = [m for m in members
+                      if sum(m[p] == w for p, w in fixed.items()) >= 0.6 * (len(m) - 3)]
+            if len(set().union(*(texts[m] for m in follow))) >= min_docs:
+                goes |= set(follow)
+    gone = {at for at, tokens in lines.items() if tuple(tokens) in goes}
     out = []
     for i, t, _ in rows:
         every = (t or "").split("\n")
@@ -53,6 +59,45 @@ def test_templates_match_brute_force(spark, docs, corpus):
     assert all(dropped[2000 + i] == 0 for i in range(9))  # copies alone do not recur
 
 
+def dropped(spark, texts):
+    rows = [(i, t, "s") for i, t in enumerate(texts)]
+    got = {r[0]: r[2] for r in line_templates(frame(spark, rows)).collect()}
+    assert got == {i: n for i, _, n, _ in brute(rows)}
+    return [got[i] for i in range(len(texts))]
+
+
+def test_unique_lines_of_a_leaf_stay(spark):
+    """The leading tokens lead to the leaf; they say nothing about the rest of the line."""
+    ends = ["red cold", "blue warm", "old pale", "new dark", "thin loud", "tall calm"]
+    assert dropped(spark, [f"It was a {e}" for e in ends]) == [0] * 6
+    # two tokens of five agree beyond the depth: less than the similarity
+    assert dropped(spark, [f"It was a day of {e} {e[::-1]}" for e in ends[:4]]) == [0] * 4
+
+
+def test_several_boilerplates_share_a_leaf(spark):
+    """Lines that recur word for word go, whichever other lines reach their leaf."""
+    tails = ["terms before you use any of it", "note that came with this very box",
+             "manual if the lamp does not glow"]
+    assert dropped(spark, [f"please read the {tails[i % 3]}\nown {chr(97 + i)} text" for i in
+                           range(30)]) == [1] * 30
+
+
+def test_branches_have_templates_of_their_own(spark):
+    """Two templates of a leaf that differ from the next token on, each with a variable word."""
+    names = ["ann", "bob", "cleo", "dora", "emil", "fay"]
+    logs = [f"the server said connection of {n} closed by peer" for n in names]
+    logs += [f"the server said request from {n} took too long" for n in names]
+    logs += ["the server said other things that nobody else says"]
+    assert dropped(spark, logs) == [1] * 12 + [0]
+
+
+def test_long_tokens_and_lines(spark):
+    """One token of 200,000 characters and a line of 60,000 words are masked and compared whole."""
+    lines = ["x" * 200_000, "w " * 60_000 + "end", "a" * 100_000 + "7 b"]
+    assert dropped(spark, [f"{line}\nalone {'abcdef'[i]}" for i in range(6) for line in lines]) \
+        == [1] * 18
+
+
 def test_empty(empty_docs):
     assert line_templates(empty_docs).count() == 0
 
