@@ -38,7 +38,7 @@ def line_templates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     Identical texts count once, so a group of copies does not make its own lines recur. Lines are
     known by 64-bit hashes and a number; only one line of each kind in a leaf that can recur meets
     its tokens again. A branch's positions, not its lines, meet in one row, so a line that a third
-    of all documents share stays spread.
+    of all documents share stays spread. Texts are shuffled twice, by their hashes, at every size.
 
     NULL text is empty (one line without a token); very long texts and lines are read whole; NULL
     and repeated ids are rows like any other; an empty table gives no rows; other columns are
@@ -66,7 +66,7 @@ def line_templates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
              .groupBy(F.col("at.key").alias("at_key"), F.col("at.at.first").alias("first"))
              .agg(F.collect_list(F.struct("leaf", "seq", "at.at.line_no")).alias("at")))
     all_lines = F.split("text", "\n")  # at most the lines of one text in ``at``
-    met = (keyed.join(found, (F.col("key") == F.col("at_key"))
+    met = (keyed.join(found.hint("merge"), (F.col("key") == F.col("at_key"))
                       & F.col("id").eqNullSafe(F.col("first")))
            .select(F.explode(F.transform("at", lambda x: F.struct(
                x["leaf"].alias("leaf"), x["seq"].alias("seq"),
@@ -99,7 +99,7 @@ def line_templates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     dropped = (lines.join(goes, "seq", "left_semi").groupBy("key")
                .agg(F.collect_list("line_no").alias("gone")))
     gone = F.coalesce("gone", F.array().cast("array<int>"))
-    return keyed.join(dropped, "key", "left").select(
+    return keyed.join(dropped.hint("merge"), "key", "left").select(
         F.col("id").alias(id_col), all_lines.alias("all"), gone.alias("gone")).select(
         id_col, F.size("all").cast("bigint").alias("n_lines"),
         F.size("gone").cast("bigint").alias("n_dropped"),
