@@ -59,6 +59,18 @@ def cumulative_share(df: DataFrame, key: str, k: int) -> DataFrame:
 
 
 def top_values(df: DataFrame, column: str, k: int = 10) -> DataFrame:
-    """The ``k`` highest distinct values of a column and how often each occurs."""
-    return (df.where(ref(column).isNotNull()).groupBy(ref(column)).agg(n_rows().alias("cnt"))
+    """The ``k`` highest distinct values of a column and how often each occurs.
+
+    A first scan takes the highest value of each of ``4 k`` hash buckets. Equal values share a
+    bucket, so the ``k``-th highest of these maxima is reached by ``k`` distinct values and bounds
+    the result from below; a second scan groups only the rows that reach it. Without ``k`` maxima
+    there is no bound and every row is grouped.
+    """
+    values = df.where(ref(column).isNotNull())
+    maxima = (values.groupBy(F.pmod(F.xxhash64(ref(column)), F.lit(4 * k)).alias("bucket"))
+              .agg(F.max(ref(column)).alias("top")).select("top").distinct()
+              .orderBy(F.desc("top")).limit(k))
+    bound = maxima.agg(F.when(n_rows() == k, F.min("top"))).scalar()
+    return (values.where(F.coalesce(ref(column) >= bound, F.lit(True)))
+            .groupBy(ref(column)).agg(n_rows().alias("cnt"))
             .orderBy(ref(column).desc()).limit(k))

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -15,7 +16,7 @@ from rolescope.operators.counts import distribution
 from rolescope.plans import sqlreports, views
 from rolescope.plans.views import CLASSES, LINES, MODEL, ORDERS
 from rolescope.session import scratch_path
-from rolescope.sources import models, reports, tables
+from rolescope.sources import conversion, models, reports, tables
 from rolescope.sources.schemas import schema_of
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -476,6 +477,41 @@ def footprint(spark, d):
     return tables.footprint(spark, f"{d.rstrip('/')}/lineitem.parquet")
 
 
+@query
+def incremental_conversion(spark, d):
+    """Four runs on a growing folder: first files, no change, a second lot, the first gone."""
+    orders = views.table(spark, d, "orders")
+    source, path = scratch_path(spark, "orders-in"), scratch_path(spark, "orders-converted")
+    steps = []
+
+    def run(step):
+        done = conversion.convert_files(
+            spark, source, path, lambda files: spark.read.schema(orders.schema).parquet(*files))
+        steps.append(conversion.read_converted(spark, path, orders.schema).agg(
+            F.lit(step).alias("step"), F.lit(done.rows).cast("bigint").alias("converted"),
+            n_rows().alias("table_rows"), F.sum("o_orderkey").alias("key_sum")))
+
+    tables.write_parquet(orders.where("o_orderkey % 3 = 0"), f"{source}/a")
+    run(1)
+    run(2)
+    tables.write_parquet(orders.where("o_orderkey % 3 = 1"), f"{source}/b")
+    run(3)
+    tables.write_parquet(orders.limit(0), f"{source}/a")
+    run(4)
+    return reduce(DataFrame.unionByName, steps)
+
+
+@query
+def head_in_file_order(spark, d):
+    """The first rows as they stand in a table of many files, written in key order."""
+    path = scratch_path(spark, "orders-sorted")
+    orders = views.table(spark, d, "orders")
+    tables.write_parquet(orders.repartitionByRange(12, "o_orderkey")
+                         .sortWithinPartitions("o_orderkey"), path)
+    return tables.head_rows(tables.read_parquet(spark, path), 200).select(
+        "o_orderkey", "o_orderstatus")
+
+
 @query
 def input_guard(spark, d):
     """A report on a guarded copy, and whether a second copy beside it is noticed."""
@@ -537,6 +573,13 @@ def quality_report(spark, d):
         quality.expect_classes_cover("class", CLASSES[:4])])
 
 
+@query
+def flag_quality(spark, d):
+    """Which flags show true as well as false, all from one aggregate."""
+    return quality.quality_report(views.lines(spark, d), [
+        quality.expect_both_flags(f) for f in ("is_returned", "is_open", "bulk", "never")])
+
+
 @query
 def union_all_reports(spark, d):
     def keyed(df, key):

@@ -391,6 +391,15 @@ ORACLE["partitioned_roundtrip"] = "SELECT * FROM events"
 ORACLE["report_roundtrip"] = CLASS_BY_GEO
 ORACLE["copy_check"] = union(f'SELECT \'{c}\' AS "check", TRUE AS passed' for c in (
     "row_count", "column_count", "column_types", "content"))
+ORACLE["incremental_conversion"] = """
+WITH part AS (SELECT o_orderkey % 3 AS r, COUNT(*) AS n, SUM(o_orderkey) AS s FROM orders GROUP BY 1),
+a AS (SELECT n, s FROM part WHERE r = 0), b AS (SELECT n, s FROM part WHERE r = 1)
+SELECT 1 AS step, a.n AS converted, a.n AS table_rows, CAST(a.s AS BIGINT) AS key_sum FROM a
+UNION ALL SELECT 2, 0, a.n, CAST(a.s AS BIGINT) FROM a
+UNION ALL SELECT 3, b.n, a.n + b.n, CAST(a.s + b.s AS BIGINT) FROM a, b
+UNION ALL SELECT 4, 0, b.n, CAST(b.s AS BIGINT) FROM b"""
+ORACLE["head_in_file_order"] = """
+SELECT o_orderkey, o_orderstatus FROM orders ORDER BY o_orderkey LIMIT 200"""
 ORACLE["line_reconciliation"] = """
 SELECT COUNT(*) AS parsed_rows, COUNT(*) AS data_lines, CAST(0 AS BIGINT) AS difference
 FROM lineitem"""
@@ -416,6 +425,12 @@ UNION ALL SELECT 'some_values:o_totalprice', 'true', priced::VARCHAR FROM o
 UNION ALL SELECT 'classes_cover:class', n::VARCHAR, listed::VARCHAR FROM o
 UNION ALL SELECT 'classes_cover:class', n::VARCHAR, first_four::VARCHAR FROM o)
 SELECT *, expected = actual AS passed FROM c"""
+ORACLE["flag_quality"] = union(
+    f"SELECT 'both_flags:{name}' AS \"check\", 'true' AS expected, "
+    f"(bool_or({flag}) AND NOT bool_and({flag}))::VARCHAR AS actual, "
+    f"bool_or({flag}) AND NOT bool_and({flag}) AS passed FROM lineitem"
+    for name, flag in {"is_returned": "l_returnflag = 'R'", "is_open": "l_linestatus <> 'F'",
+                       "bulk": "l_quantity > 40", "never": "l_quantity < 0"}.items())
 ORACLE["union_all_reports"] = f"""
 SELECT 'order_class' AS report, CAST(class AS VARCHAR) AS key, COUNT(*) AS cnt
 FROM ({ORDERS}) GROUP BY class

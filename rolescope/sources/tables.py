@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 from contextlib import contextmanager
+from urllib.parse import unquote
 
 from py4j.protocol import Py4JJavaError
 from pyspark.errors import PySparkException
@@ -88,9 +90,39 @@ def write_csv(df: DataFrame, path: str, escape: str = "\\") -> None:
       .option("timestampNTZFormat", "yyyy-MM-dd HH:mm:ss.SSSSSS").csv(path)
 
 
+def head_rows(df: DataFrame, n: int) -> DataFrame:
+    """The first ``n`` rows of a file scan: files by path, rows as they stand in their file.
+
+    ``limit`` returns whichever rows come first, which depends on how files are cut and dealt to
+    tasks; here rows are ordered by file, start of the block and place in it. Files are added,
+    twice as many each time, until they hold ``n`` rows, so the rest is never opened; of those read,
+    a task keeps ``n`` rows.
+    """
+    spark = df.sparkSession
+    paths = df.inputFiles()
+    if not paths or n <= 0:
+        return df.limit(0)
+    where = F.col("_metadata.file_path")
+    folders = sorted({f.rsplit("/", 1)[0] for f in paths})
+    listed = manifest(spark, *[readable(f) for f in folders]).select("file")
+    files, look = sorted(r["file"] for r in listed.collect()), 1
+    while look < len(files) and df.where(where.isin(files[:look])).limit(n).count() < n:
+        look *= 2
+    order = ["__file", "__block", "__place"]
+    return (df.where(where.isin(files[:look]))
+            .withColumns({"__file": where, "__block": F.col("_metadata.file_block_start"),
+                          "__place": F.monotonically_increasing_id()})
+            .orderBy(*order).limit(n).drop(*order))
+
+
 def head_sample(df: DataFrame, path: str, n: int) -> None:
-    """Header plus the first ``n`` rows as one CSV file."""
-    df.limit(n).coalesce(1).write.mode("overwrite").option("header", True).csv(path)
+    """Header plus the first ``n`` rows of a file scan, in file order, as one CSV file."""
+    head_rows(df, n).coalesce(1).write.mode("overwrite").option("header", True).csv(path)
+
+
+def readable(uri: str) -> str:
+    """A listed file's URI as a path to read: decoded, with what a glob would expand escaped."""
+    return re.sub(r"([\\\[\]{}*?])", r"\\\1", unquote(uri))
 
 
 def footprint(spark: SparkSession, path: str) -> DataFrame:
@@ -196,11 +228,17 @@ _NO_TABLE = ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA", "CANNOT_READ_FILE_FOOTE
              "is not a Parquet file")
 
 
+def is_missing(error: Exception) -> bool:
+    """Whether a read failed because there is no Parquet table, and not for a passing reason."""
+    return (isinstance(error, (PySparkException, Py4JJavaError))
+            and any(c in str(error) for c in _NO_TABLE))
+
+
 def _holds(spark: SparkSession, path: str, source: DataFrame, rows: int | None) -> bool:
     try:
         there = read_parquet(spark, path)
     except (PySparkException, Py4JJavaError) as error:
-        if any(c in str(error) for c in _NO_TABLE):
+        if is_missing(error):
             return False
         raise
     if sorted(there.columns) != sorted(source.columns):
