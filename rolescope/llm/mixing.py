@@ -141,6 +141,48 @@ def mix_plan(docs: DataFrame, plan: Curriculum = Curriculum(), id_col: str = "do
         "start", "schedule")
 
 
+def training_order(planned: DataFrame, id_col: str = "doc_id",
+                   source_col: str = "source") -> DataFrame:
+    """``id, source, start, size, copy, position``: every copy of a plan, in training order.
+
+    ``planned`` is the result of ``mix_plan``. Each copy stands where the integrated schedule of its
+    source has demanded the words before it; all sources are range-sorted by that time into one
+    sequence. Rows whose ``copies`` are 0 are not in it; (id, source, start, size) tells rows apart.
+    """
+    copies = F.sequence(F.lit(0).cast("bigint"), F.col("copies") - 1)
+    drawn = planned.where(F.col("copies") > 0).withColumn("copy", F.explode(copies))
+    at = F.col("start") + F.col("copy") * F.col("source_size")
+    share = F.when(F.col("target") > 0, at / F.col("target")).otherwise(0.0)
+    return drawn.select(
+        id_col, source_col, "start", "size", "copy",
+        _when_demanded(share, F.col("schedule")).alias("position"),
+    ).orderBy("position", id_col, source_col, "start", "copy")
+
+
+def mixed_documents(docs: DataFrame, plan: Curriculum = Curriculum(), id_col: str = "doc_id",
+                    text_col: str = "text", source_col: str = "source") -> DataFrame:
+    """The rows of ``mix_plan`` with what the sequence of ``training_order`` holds of each.
+
+    ``copies``, ``taken`` and ``first_position`` are counted in the sequence, which is written in
+    training order and read back, not foretold from the plan. Rows that it does not hold have 0
+    copies and no position.
+    """
+    planned = materialize(mix_plan(docs, plan, id_col, text_col, source_col), "mix-plan")
+    sequence = materialize(training_order(planned, id_col, source_col), "mix-sequence")
+    key = {id_col: "k_id", source_col: "k_source", "start": "k_start", "size": "k_size"}
+    # rows that agree in all four are empty texts of one id: each has its own copy 0, 1, ...
+    held = sequence.groupBy(*[F.col(c).alias(k) for c, k in key.items()]).agg(
+        (F.count(F.lit(1)) / F.count_if(F.col("copy") == 0)).cast("bigint").alias("held"),
+        F.min("position").alias("first"))
+    same = F.lit(True)
+    for c, k in key.items():
+        same = same & F.col(c).eqNullSafe(F.col(k))
+    copies = F.coalesce(F.col("held"), F.lit(0).cast("bigint"))
+    return planned.join(held, same, "left").select(
+        id_col, "size", source_col, "source_size", "target", copies.alias("copies"),
+        (F.col("size") * copies).alias("taken"), F.col("first").alias("first_position"))
+
+
 def mix(docs: DataFrame, plan: Curriculum = Curriculum(), id_col: str = "doc_id",
         text_col: str = "text", source_col: str = "source") -> DataFrame:
     """The mixed corpus: one row per copy taken, range-sorted by training position.

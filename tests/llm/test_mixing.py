@@ -4,7 +4,8 @@ import re
 
 import pytest
 
-from rolescope.llm.mixing import Curriculum, mix, mix_plan
+from rolescope.llm import mixing
+from rolescope.llm.mixing import Curriculum, mix, mix_plan, mixed_documents, training_order
 
 
 def targets(sizes, weights, cap=3):
@@ -73,3 +74,28 @@ def test_schedule_shapes_positions(spark):
 
 def test_empty(empty_docs):
     assert mix_plan(empty_docs).count() == 0 and mix(empty_docs).count() == 0
+
+
+def test_the_sequence_is_built_and_counted(docs):
+    """All copies stand in one sequence in training order; the rows come from counting it."""
+    planned = mix_plan(docs)
+    places = [r["position"] for r in training_order(planned).collect()]
+    assert places == sorted(places) and 0 <= places[0] and places[-1] <= 1
+    assert len(places) == sum(r["copies"] for r in planned.collect())
+    columns = ["doc_id", "size", "source", "copies", "taken", "first_position"]
+    want = [tuple(r[c] for c in columns) for r in planned.collect()]
+    got = [tuple(r[c] for c in columns) for r in mixed_documents(docs).collect()]
+    assert sorted(got, key=repr) == sorted(want, key=repr)
+
+
+def test_the_query_counts_the_sequence(spark, sf_dir, monkeypatch):
+    from rolescope.llm.queries import QUERIES
+    order = mixing.training_order
+    monkeypatch.setattr(mixing, "training_order",
+                        lambda *args: order(*args).where("copy = 0"))
+    rows = QUERIES["op9_source_mixing"](spark, sf_dir).collect()
+    assert {r["copies"] for r in rows} <= {0, 1}
+
+
+def test_empty_sequence(empty_docs):
+    assert mixed_documents(empty_docs).count() == 0
