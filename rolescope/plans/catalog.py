@@ -395,13 +395,16 @@ def sketched_medians(spark, d):
     by_class = quantiles.sketched_quantile(stored, ("class",))
     every = quantiles.sketched_quantile(stored).select(F.lit(0).alias("class"), "column", "cnt",
                                                        "value")
-    found = every.unionByName(by_class).select(F.col("class").alias("of"), "value")
+    # A row for every class: an array of them travels with the rows, which no join deals by class.
+    found = every.unionByName(by_class).agg(F.collect_list(F.struct(
+        F.col("class").alias("of"), "value"))).scalar()
     rows = df.select(F.explode(F.array(F.lit(0), F.col("class"))).alias("class"),
-                     price.alias("price"))
+                     price.alias("price"), found.alias("found"))
+    value = F.element_at(F.filter("found", lambda x: x["of"].eqNullSafe(F.col("class"))), 1)["value"]
     low, high = (F.count_if(c) / F.count("price") for c in (
         F.col("price") < F.col("value"), F.col("price") <= F.col("value")))
     error = quantiles.SKETCH_ERROR
-    return rows.join(found, F.col("class") == F.col("of")).groupBy("class").agg(
+    return rows.select("class", "price", value.alias("value")).groupBy("class").agg(
         F.count("price").alias("cnt"),
         ((low <= 0.5 + error) & (high >= 0.5 - error)).alias("within_error"))
 

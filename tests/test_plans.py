@@ -106,3 +106,11 @@ def test_exact_quantiles_scan_their_table_twice(spark, sf_dir, monkeypatch):
     assert final.count("FileScan") == 1
     # the window runs over cells: an aggregate stands below it
     assert final.index("Window") < final.index("HashAggregate(keys=[s#")
+
+
+def test_sketched_medians_deal_no_rows_by_class(plans):
+    """Half of all rows would meet in the task of class 0: only sketches and counts are shuffled."""
+    plan = plans["sketched_medians"]
+    rows = plan[:plan.index("Subquery")] if "Subquery" in plan else plan
+    assert "Join" not in rows and rows.count("Exchange") == 1
+    assert rows.index("Exchange") < rows.rindex("HashAggregate")
