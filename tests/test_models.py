@@ -247,3 +247,25 @@ def test_the_source_is_read_once_a_fit(spark, table, tmp_path, monkeypatch):
 def test_tasks_follow_the_rows():
     assert [train.tasks_for(n) for n in (0, 1, train.ROWS_PER_TASK, train.ROWS_PER_TASK + 1)] \
         == [1, 1, 1, 2]
+
+
+def test_common_slots_are_numbers_and_trees_stay_the_same(spark):
+    """One split is possible in a slot of zeros and ones, whichever way it is declared."""
+    n = F.col("id")
+    spec = FeatureSpec(SPEC.roles.but(numeric=("x",), flags=()), time_parts=())
+    df = spark.range(3000).select(
+        (n * 7919 % 1009).cast("double").alias("x"),
+        F.when(n == 5, "rare").otherwise(F.concat(F.lit("p"), n % 3)).alias("place"))
+    label = F.when(F.col("place") == "p1", 2).when(F.col("x") > 700, 1).otherwise(0)
+    vectors = features.preprocessing(spec, {"x": 0.0}).fit(df).transform(df).select(
+        "features", label.cast("double").alias("label"), F.lit(1.0).alias("class_weight"))
+    found = vectors.collect()
+    non_zero = [sum(r["features"][i] != 0 for r in found) for i in range(len(found[0]["features"]))]
+    known = train.numeric_slots(vectors, len(found), non_zero)
+    attrs = known.schema["features"].metadata["ml_attr"]["attrs"]
+    assert [s["name"] for s in attrs["binary"]] == ["place__hot_rare"]
+    assert {s["name"] for s in attrs["numeric"]} >= {f"place__hot_p{i}" for i in range(3)}
+    for name in ("Decision Tree", "Random Forest"):
+        a, b = (train.estimator(name, seed=1).fit(v).transform(vectors).select(
+            "prediction", "probability").collect() for v in (vectors, known))
+        assert a == b
