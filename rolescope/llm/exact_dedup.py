@@ -2,11 +2,9 @@
 
 from __future__ import annotations
 
-import hashlib
 from string import ascii_lowercase, ascii_uppercase
 
-import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from rolescope.llm.base import fresh, materialize
@@ -14,6 +12,17 @@ from rolescope.llm.base import fresh, materialize
 HASH_BITS = 128
 
 
+def folded(text: Column) -> Column:
+    """The text with A-Z lower-cased and nothing else; NULL is empty.
+
+    ``lower`` folds every alphabet, so it takes only texts that are ASCII throughout: those of as
+    many bytes as characters. ``translate`` goes character by character and takes the others.
+    """
+    text = F.coalesce(text, F.lit(""))
+    return F.when(F.octet_length(text) == F.char_length(text), F.lower(text)).otherwise(
+        F.translate(text, ascii_uppercase, ascii_lowercase))
+
+
 def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", *,
                  keep: str = "smallest", hash_bits: int = HASH_BITS) -> DataFrame:
     """``id, keep_id, group_size, kept, text_sha256`` for every row.
@@ -32,23 +41,10 @@ def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     """
     pick = {"smallest": F.min, "largest": F.max}[keep]
     size = hash_bits // 8
-    id_type = docs.select(id_col).schema[0].dataType
-    source = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-
-    def digest(batches):
-        for batch in batches:
-            ids, hashes, shas, texts = batch.column(0), [], [], []
-            for value in batch.column(1).to_pylist():
-                folded = (value or "").encode().lower()  # bytes: A-Z only
-                hashes.append(hashlib.md5(folded).digest()[:size])
-                shas.append(hashlib.sha256(folded).hexdigest())
-                texts.append(folded)
-            yield pa.RecordBatch.from_arrays(
-                [ids, pa.array(hashes, pa.binary()), pa.array(shas, pa.string()),
-                 pa.array(texts, pa.binary())], ["id", "h", "sha", "body"])
-
-    hashed = source.mapInArrow(
-        digest, f"id {id_type.simpleString()}, h binary, sha string, body binary")
+    # all of it in the JVM: whole texts sent through Python workers would be held there once more
+    hashed = docs.select(F.col(id_col).alias("id"), folded(F.col(text_col)).alias("body")).select(
+        "id", F.substring(F.unhex(F.md5("body")), 1, size).alias("h"),
+        F.sha2("body", 256).alias("sha"), "body")
     texts = materialize(
         hashed.groupBy("h", "body").agg(F.count(F.lit(1)).alias("n"), pick("id").alias("keep_id"),
                                         F.min("sha").alias("sha"))
@@ -84,9 +80,8 @@ def drop_exact(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         stays = stays | F.col("keep_id").isNull()
     stay = groups.where(stays).select(F.col(id_col).alias("stay_id"),
                                       F.col("text_sha256").alias("stay_sha")).distinct()
-    folded = F.translate(F.coalesce(F.col(text_col), F.lit("")), ascii_uppercase, ascii_lowercase)
     digest = fresh(docs, "digest")
-    own = docs.withColumn(digest, F.sha2(folded, 256))
+    own = docs.withColumn(digest, F.sha2(folded(F.col(text_col)), 256))
     kept = own.join(stay, own[id_col].eqNullSafe(stay["stay_id"])
                     & (own[digest] == stay["stay_sha"]), "left_semi")
     return kept.dropDuplicates([id_col, digest]).drop(digest)

@@ -59,3 +59,20 @@ def test_no_text_is_lost(spark, sf_dir, corpus):
     assert set(texts) == {(t or "").encode().lower() for _, t, _ in rows}
     assert (8999, b"held by a smaller id") in kept and (None, b"no id twice") in kept
     assert {t for i, t in kept if i == 9000} == {b"one text", b"another text"}
+
+
+def test_texts_stay_in_the_jvm(docs, capsys):
+    """Whole texts in Python workers, beside the JVM's copies, took an executor over its memory."""
+    exact_groups(docs).explain()
+    drop_exact(docs).explain()
+    plans = capsys.readouterr().out
+    assert "Join" in plans
+    assert "MapInArrow" not in plans
+
+
+def test_letters_beyond_ascii_keep_their_case(spark):
+    """Dotted and Kelvin letters, sharp s and control characters: only A-Z change."""
+    texts = ["İI", "KK", "ẞß SS", "A\x00B", "ÀZ\U00010400", "", None, "Plain ASCII Z[@"]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id int, text string")
+    assert {r["doc_id"]: r["text_sha256"] for r in exact_groups(df).collect()} == {
+        i: hashlib.sha256((t or "").encode().lower()).hexdigest() for i, t in enumerate(texts)}
