@@ -18,6 +18,7 @@ Every block starts at a byte, so any range of ids is read from the blocks that h
 
 from __future__ import annotations
 
+import codecs
 import os
 import re
 import struct
@@ -118,20 +119,37 @@ class TokenFile:
 # Byte-level alphabet: printable bytes stand for themselves, the others for code points from 256.
 _PRINTABLE = {*range(33, 127), *range(161, 173), *range(174, 256)}
 _OTHERS = [b for b in range(256) if b not in _PRINTABLE]
-_BYTE_CHARS = {b: 256 + i for i, b in enumerate(_OTHERS)}
-_SPACE = chr(_BYTE_CHARS[32])
+_BYTE_CHARS = "".join(chr(b if b in _PRINTABLE else 256 + _OTHERS.index(b)) for b in range(256))
+
+# Marks that the tokenizer separates from the letters before them.
+_MARKS = "!\"#$%&()*+,./:;<=>?@[]^_`{|}~-"
+# Packers of few ids.
+_PACK = [struct.Struct(f"<{n}I").pack for n in range(32)]
+
+
+class _Uneven(Exception):
+    """White space behind a space or line feed, or a text that ends in one of the two."""
 
 
 class _Known(dict):
-    """Ids by text; what is missing is asked of ``learn`` and kept if it is short."""
+    """Ids by text; what is missing is asked of ``learn`` and kept if it is short.
+
+    When ``REMEMBERED`` are kept they become the old ones, which are dropped when that happens next;
+    old ones that are met are kept again. So frequent texts stay.
+    """
 
     def __init__(self, learn):
         super().__init__()
-        self.learn = learn
+        self.learn, self.old = learn, {}
 
     def __missing__(self, key: str) -> bytes:
-        ids = self.learn(key)
+        ids = self.old.get(key)
+        if ids is None:
+            ids = self.learn(key)
         if len(key) <= LONGEST:
+            if len(self) >= REMEMBERED:
+                self.old = dict(self)
+                self.clear()
             self[key] = ids
         return ids
 
@@ -142,12 +160,11 @@ class ChunkIds:
     Such a tokenizer always splits before a space or line feed that something else than white
     space follows, so a text is cut there and each chunk is looked up by its text. A chunk not met
     lately is encoded: by its letters and by its marks if it is letters with marks behind (the
-    tokenizer separates the two), else as a whole. The dictionaries are emptied when full.
+    tokenizer separates the two), else as a whole. The dictionaries forget what was not met lately.
     """
 
-    _UNEVEN = re.compile(r"[ \n](?=\s|\Z)")
     _CUT = re.compile(r"(?=[ \n]\S)")
-    _LETTERS = re.compile(r"([ \n]?)([^\W\d_]+)([!\"#$%&()*+,./:;<=>?@\[\]^_`{|}~-]*)")
+    _LETTERS = re.compile(rf"([ \n]?)([^\W\d_]+)([{re.escape(_MARKS)}]*)")
 
     def __init__(self, path: str):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
@@ -156,8 +173,9 @@ class ChunkIds:
         # strings of special tokens in a text are ordinary text
         self.tokenizer.encode_special_tokens = True
         self.vocabulary = self.tokenizer.get_vocab_size()
+        self.tokenize = self.tokenizer.model.tokenize
         self.chunks = _Known(self._chunk)
-        self.after_space = _Known(lambda c: self._chunk(c if c[0] == "\n" else " " + c))
+        self.after_space = _Known(self._after_space)
         self.words = _Known(self._word)
 
     def whole(self, text: str) -> bytes:
@@ -166,12 +184,25 @@ class ChunkIds:
 
     def _word(self, word: str) -> bytes:
         """Ids of letters, with a space before them or not; also of marks alone."""
-        if word.isascii():
-            mapped = word.translate(_BYTE_CHARS) if word[0] < " " else word.replace(" ", _SPACE)
-        else:
-            mapped = word.encode().decode("latin-1").translate(_BYTE_CHARS)
-        tokens = [t.id for t in self.tokenizer.model.tokenize(mapped)]
-        return struct.pack(f"<{len(tokens)}I", *tokens)
+        mapped = codecs.charmap_decode(word.encode(), "strict", _BYTE_CHARS)[0]
+        tokens = [t.id for t in self.tokenize(mapped)]
+        n = len(tokens)
+        return _PACK[n](*tokens) if n < len(_PACK) else struct.pack(f"<{n}I", *tokens)
+
+    def _after_space(self, chunk: str) -> bytes:
+        """Ids of a chunk and the space before it, or of one that begins with a line feed."""
+        if chunk.isalpha():
+            return self._word(" " + chunk)
+        if chunk[:1] == "\n":
+            if len(chunk) == 1 or chunk[1].isspace():
+                raise _Uneven
+            return self._chunk(chunk)
+        if not chunk or chunk[0].isspace():
+            raise _Uneven
+        letters = chunk.rstrip(_MARKS)
+        if letters.isalpha():
+            return self.after_space[letters] + self.words[chunk[len(letters):]]
+        return self._chunk(" " + chunk)
 
     def _chunk(self, chunk: str) -> bytes:
         simple = self._LETTERS.fullmatch(chunk)
@@ -184,13 +215,13 @@ class ChunkIds:
 
     def encode(self, text: str) -> bytes:
         """Little-endian unsigned 32-bit ids."""
-        for known in (self.chunks, self.after_space, self.words):
-            if len(known) > REMEMBERED:
-                known.clear()
-        if self._UNEVEN.search(text) is None:
+        if "  " not in text and "\n\n" not in text:
             first, *rest = text.replace("\n", " \n").split(" ")
-            ids = b"".join(map(self.after_space.__getitem__, rest))
-            return self.chunks[first] + ids if first else ids
+            try:
+                ids = b"".join(map(self.after_space.__getitem__, rest))
+                return self.chunks[first] + ids if first else ids
+            except _Uneven:
+                pass
         return b"".join([self.chunks[c] for c in self._CUT.split(text) if c])
 
 

@@ -111,3 +111,28 @@ def test_chunks_give_what_whole_texts_give(encode):
     for _ in range(4000):
         text = "".join(rng.choice(pool) for _ in range(rng.randint(0, 9)))
         assert np.frombuffer(known.encode(text), "<u4").tolist() + [2] == encode(text), text
+
+
+def test_white_space_of_any_kind_and_marks_match_whole_texts():
+    """Texts with uneven spaces take another path than those without; both give the whole's ids."""
+    known = ChunkIds(public_tokenizers.path("byte_bpe_50k.json"))
+    texts = ["", " ", "\n", "a\n", "a ", " a", "\na", "a\n\nb", "a  b", "a \nb", "a\n b", "a \tb",
+             "a\t b", "a\xa0b \xa0c", "x  y", "a\n\tb", "été, naïve!!", " ½x", "x² y²,", "don't",
+             "a_b c_", "_x", "ǅ ʰ a", "[x] (y)z", "Ünï,", "漢字 漢字.", "\x00 \x1f a", "1a a1, 2",
+             "word " * 40 + "end", "x" * 200 + ", " + "y" * 200]
+    for _ in range(2):  # from scratch, and from what is remembered
+        for text in texts:
+            assert known.encode(text) == known.whole(text), text
+
+
+def test_frequent_chunks_stay_when_the_dictionaries_fill(monkeypatch):
+    monkeypatch.setattr("rolescope.llm.token_files.REMEMBERED", 20)
+    known = ChunkIds(public_tokenizers.path("byte_bpe_50k.json"))
+    asked, plain = [], known.tokenize
+    known.tokenize = lambda text: (asked.append(text), plain(text))[1]
+    for i in range(200):
+        text = f"so common w{'abcdefghij'[i % 10]}{'klmnopqrst'[i // 10 % 10]}{'uv'[i // 100]}x"
+        assert known.encode(text) == known.whole(text)
+    assert sum(t.endswith("common") for t in asked) == 1
+    assert all(len(d) <= 20 and len(d.old) <= 20 for d in
+               (known.chunks, known.after_space, known.words))
