@@ -249,6 +249,20 @@ def test_tasks_follow_the_rows():
         == [1, 1, 1, 2]
 
 
+def test_only_trees_ask_for_the_kind_of_a_slot(table, monkeypatch):
+    """A logistic fit alone counts no slots; its model is the same beside a tree."""
+    asked, kinds, name = [], train.numeric_slots, "Logistic Regression"
+    monkeypatch.setattr(train, "numeric_slots", lambda *a: asked.append(1) or kinds(*a))
+    alone = train.train_and_evaluate(table, SPEC, ("id",), {name: {}})
+    assert alone.train_rows > 1500 and not asked
+    beside = train.train_and_evaluate(table, SPEC, ("id",), {name: {}, "Decision Tree": {"maxDepth": 2}})
+    assert asked
+    a, b = (r.models[name].stages[-1].coefficientMatrix.toArray() for r in (alone, beside))
+    assert abs(a - b).max() < 1e-6
+    alone.release()
+    beside.release()
+
+
 def test_common_slots_are_numbers_and_trees_stay_the_same(spark):
     """One split is possible in a slot of zeros and ones, whichever way it is declared."""
     n = F.col("id")
