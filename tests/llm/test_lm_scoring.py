@@ -7,11 +7,13 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
-from rolescope.llm.lm_scoring import (LmPlan, _descend, _features, _pack, _run_sums, _softmax,
-                                      _unpack, lm_scores)
+from rolescope.llm.lm_scoring import (LmPlan, _count_words, _descend, _features, _pack, _run_sums,
+                                      _softmax, _unpack, lm_scores)
 from rolescope.llm.queries import QUERIES
+from rolescope.llm.word_tree import LAYERS, PARTS, UNIT, Paths, Tree, part_of, weights
 
 from .conftest import frame
 
@@ -187,3 +189,86 @@ def test_sums_of_runs_are_not_taken_run_by_run():
         np.add.reduceat(p[rows], starts, axis=0), abs=1e-2)
     assert 1.5 * seconds(lambda: _run_sums(p, rows, starts)) < seconds(
         lambda: np.add.reduceat(p[rows], starts, axis=0))
+
+
+def vocabulary(seed=5, classes=4):
+    """Counts, classes, hashes and ranks of words, and their tree, as the operator makes them."""
+    rng = np.random.default_rng(seed)
+    count = np.concatenate([rng.zipf(1.6, 900) % 5000, np.ones(50, np.int64), [0, 0]])
+    code = rng.choice(1 << 32, len(count), replace=False).astype(np.uint64)
+    cls = np.where(count >= 2, rng.integers(1, classes, len(count)), 0)
+    rows = []
+    for part in np.unique(part_of(code)):
+        own = np.flatnonzero(part_of(code) == part)
+        table = pa.table({"tok": code[own].view(np.int64), "place": own,
+                          "seen": count[own] * 256 + np.maximum(cls[own], 1)})
+        rows += _count_words(table, classes).to_pylist()
+    rank = np.zeros(len(count), dtype=np.int64)
+    sizes, mass = np.zeros((classes * LAYERS, PARTS), np.int64), np.zeros(classes * LAYERS)
+    for r in rows:
+        if r["chunk"] < 0:
+            sizes[r["place"], -1 - r["chunk"]] = r["rank"]
+            mass[r["place"]] += r["c"]
+        else:
+            assert r["c"] == count[r["place"]] and r["first"]
+            rank[r["place"]] = r["rank"]
+    return count, cls, Paths(Tree(sizes, mass, classes), count, cls, code, rank)
+
+
+def test_shares_of_a_class_sum_to_one_in_every_context():
+    count, cls, paths = vocabulary()
+    rng = np.random.default_rng(6)
+    tables = [np.append(rng.normal(size=1 << 10), 0).astype(np.float32) for _ in range(2)]
+    contexts = [np.array([5, 7, 9], dtype=np.uint32), np.array([0, 11, 13], dtype=np.uint32)]
+    words = np.flatnonzero(count > 0)
+    plain = 10 ** paths.log_share(words, np.zeros(len(words), np.int64), contexts, [])
+    for k in range(4):
+        own = words[cls[words] == k]
+        for c in range(3):
+            before = np.full(len(own), c)
+            share = 10 ** paths.log_share(own, before, contexts, tables)
+            assert share.sum() == pytest.approx(1, abs=1e-4)
+            assert abs(share - plain[cls[words] == k]).max() > 1e-3  # the context is heard
+    # without weights the tree gives the words' shares, to within the breadth of a layer
+    total = np.bincount(cls[words], weights=count[words])
+    ratio = plain / (count[words] / total[cls[words]])
+    assert 0.6 < ratio.min() and ratio.max() < 1.6
+    assert (paths.length[count == 0] == 0).all()
+
+
+def test_words_of_one_class_are_told_apart_by_context(spark):
+    """One ending, so one class: which of its words comes depends on the word before."""
+    rng = random.Random(8)
+    rows = [(i, " ".join(f"q{p}a w{p}xyz" for p in rng.choices(range(8), k=40)), None)
+            for i in range(400)]
+    got = [r for r in lm_scores(frame(spark, rows)).collect() if r["held_out"]]
+    gain = sum(r["score"] - r["base_score"] for r in got) / sum(r["n_tokens"] for r in got)
+    known = [r for r in lm_scores(frame(spark, rows), LmPlan(ridge=1e12)).collect() if r["held_out"]]
+    static = sum(r["score"] - r["base_score"] for r in known) / sum(r["n_tokens"] for r in known)
+    assert gain > static + 0.2
+
+
+@pytest.mark.parametrize("by_ending", [True, False])
+def test_gradients_inside_classes_match_the_plain_ones(by_ending):
+    count, cls, paths = vocabulary()
+    rng = np.random.default_rng(9)
+    words = rng.choice(np.flatnonzero(count > 0), 400)
+    before, n = rng.integers(0, 3, 400), rng.integers(1, 9, 400)
+    contexts = [np.array([5, 7, 9], dtype=np.uint32), np.array([0, 11, 13], dtype=np.uint32)]
+    tables = [] if by_ending else [np.append(rng.normal(size=1 << 10), 0).astype(np.float32)]
+    sums = np.zeros((1 << 10) + 1, dtype=np.int64)
+    paths.learn(words, n, before, contexts, tables, sums)
+    push, curve = np.zeros(len(sums)), np.zeros(len(sums))
+    for w, b, c in zip(words, before, n):
+        for i in range(paths.first[w], paths.first[w] + paths.length[w]):
+            at, one = np.array([i]), np.array([1])
+            z = float(paths.odds[i])
+            if tables:
+                z += paths.sign[i] * tables[0][paths.cells(at, one, contexts[0][[b]], 1 << 10)[0]]
+            p = 1 / (1 + math.exp(-z))
+            cell = paths.cells(at, one, contexts[len(tables)][[b]], 1 << 10)[0]
+            push[cell] += c * paths.sign[i] * (1 - p)
+            curve[cell] += c * p * (1 - p)
+    assert (sums >> 32) / UNIT == pytest.approx(push, abs=0.2)
+    assert (sums & 0xFFFFFFFF) / UNIT == pytest.approx(curve, abs=0.2)
+    assert weights(push, curve, 1.0)[-1] == 0 and abs(weights(push, curve, 1.0)).max() <= 2
